@@ -77,6 +77,7 @@ def test_hot_fact_key_is_split_when_the_dimension_is_too_large_to_broadcast(spar
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
     }
     for k, v in settings.items():
         spark.conf.set(k, v)
