@@ -9,7 +9,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Columns that differ between two readings of the same source row, so they never take part in ordering.
-VOLATILE_COLUMNS = ("ingestion_ts", "processed_ts", "gold_processed_ts", "ingest_batch")
+VOLATILE_COLUMNS = (
+    "ingestion_ts",
+    "processed_ts",
+    "gold_processed_ts",
+    "ingest_batch",
+    "__bucket",
+    "__gen",
+)
 
 
 def surrogate_key(*columns: str | Column, separator: str = "||") -> Column:

@@ -106,6 +106,22 @@ def scd2(
 
     ``rows_per_slice`` bounds the rows of one key in one task; None skips the search for keys beyond it.
     """
+    versions = timeline(
+        changes, keys, sequence_by, tie_break, apply_as_deletes, track_columns, rows_per_slice
+    )
+    return publish_scd2(versions, sequence_by, apply_as_deletes, except_columns)
+
+
+def timeline(
+    changes: DataFrame,
+    keys: Sequence[str],
+    sequence_by: str | Column,
+    tie_break: Sequence[str] | None = None,
+    apply_as_deletes: str | Column | None = None,
+    track_columns: Sequence[str] | None = None,
+    rows_per_slice: int | None = ROWS_PER_SLICE,
+) -> DataFrame:
+    """The source columns and ``__END_AT`` for every version and every delete."""
     order = event_order(changes, sequence_by, tie_break)
     names = [_SEQ, *[f"__tie_{i}" for i in range(1, len(order))]]
     events = changes.withColumns(
@@ -117,11 +133,20 @@ def scd2(
         versions = _versions(events, keys, names, track_columns)
     else:
         versions = _sliced_versions(events, heavy, keys, names, track_columns)
-    return (
-        versions.where(~F.col(_DELETED))
-        .withColumn(START_AT, F.col(_SEQ))
-        .drop(*names, _DELETED, *except_columns)
-        .select(*[c for c in changes.columns if c not in except_columns], START_AT, END_AT)
+    return versions.select(*changes.columns, END_AT)
+
+
+def publish_scd2(
+    versions: DataFrame,
+    sequence_by: str | Column,
+    apply_as_deletes: str | Column | None = None,
+    except_columns: Sequence[str] = (),
+) -> DataFrame:
+    """What readers see of :func:`timeline`."""
+    sequence = F.col(sequence_by) if isinstance(sequence_by, str) else sequence_by
+    kept = [c for c in versions.columns if c not in {*except_columns, END_AT}]
+    return versions.where(~_predicate(apply_as_deletes)).select(
+        *kept, sequence.alias(START_AT), END_AT
     )
 
 
