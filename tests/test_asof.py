@@ -91,3 +91,13 @@ def test_hot_fact_key_is_split_when_the_dimension_is_too_large_to_broadcast(spar
     finally:
         for k in settings:
             spark.conf.unset(k)
+
+
+def test_text_keys_meet_number_keys(spark):
+    dim = spark.createDataFrame([("7", 1), ("x", 1)], "k string, __START_AT int").selectExpr(
+        "k", "__START_AT", "CAST(NULL AS INT) AS __END_AT", "k AS v"
+    )
+    facts = spark.createDataFrame([(7, 5), (8, 5)], "k int, at int")
+    assert [r.v for r in asof_left_join(facts, dim, ["k"], "at", ["v"]).orderBy("k").collect()] == ["7", None]
+    back = asof_left_join(dim.withColumn("at", F.lit(2)), facts.selectExpr("k", "1 AS __START_AT", "NULL AS __END_AT", "k AS w"), ["k"], "at", ["w"])
+    assert sorted(r.w or 0 for r in back.collect()) == [0, 7]

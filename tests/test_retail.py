@@ -1,0 +1,180 @@
+import csv
+import json
+
+import pytest
+
+from strata.conf import PipelineConf
+from strata.plans import RetailStore, sales_facts
+
+
+class Shop:
+    """Landing folders of a small shop."""
+
+    def __init__(self, root):
+        self.root = root
+        self.conf = PipelineConf(f"{root}/raw", f"{root}/tables", f"{root}/cp", buckets=3)
+
+    def csv(self, name, rows):
+        path = self.root / "raw" / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        with path.open("w", newline="") as handle:
+            writer = csv.DictWriter(handle, list(rows[0]))
+            writer.writeheader()
+            writer.writerows(rows)
+
+    def json(self, name, rows):
+        path = self.root / "raw" / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text(json.dumps(rows, indent=2))
+
+
+def dates(day):
+    return {"created_date": "2024-01-01", "modified_date": day}
+
+
+def customer(id_, day, operation="UPSERT", city="X", operation_day=None):
+    names = ["first_name", "last_name", "email", "phone_number", "gender", "ssn", "preferred_contact_method", "status"]
+    parts = ["address_line1", "address_line2", "postal_code", "state", "country"]
+    return {
+        "customer_id": id_,
+        **{n: f"{n}-{id_}" for n in names},
+        "date_of_birth": "1990-02-03",
+        **dates(day),
+        "address": {"city": city, **{p: p for p in parts}},
+        "operation": operation,
+        "operation_date": operation_day or day,
+    }
+
+
+def sale(id_, day, lines, modified=None, customer_id="c1", employee_id=1, location_id="l1"):
+    return {
+        "transaction_id": id_,
+        "employee_id": employee_id,
+        "customer_id": customer_id,
+        "location_id": location_id,
+        "transaction_date": day,
+        "total_amount": sum(x["line_total"] for x in lines) if lines else 0.0,
+        "payment_type": "card",
+        **dates(modified or day),
+        "line_items": lines,
+    }
+
+
+def line(n, total, product="p1", quantity=1):
+    return {
+        "line_item_id": n,
+        "product_id": product,
+        "quantity": quantity,
+        "unit_price": total / quantity,
+        "discount_pct": 0.0,
+        "line_total": total,
+    }
+
+
+@pytest.fixture(scope="module")
+def store(spark, tmp_path_factory):
+    shop = Shop(tmp_path_factory.mktemp("shop"))
+    shop.json("customers/1.json", [customer("c1", "2024-01-01"), customer("c1", "2024-03-01", city="Y"), customer("c2", "2024-01-01")])
+    shop.csv("departments/1.csv", [{"dept_id": "d1", "name": "Toys", **dates("2024-01-01")}, {"dept_id": "", "name": "None", **dates("2024-01-01")}])
+    employee = lambda i, email, pay, day: {"employee_id": i, "email": email, "hire_date": "2020-01-01", "termination_date": "", "pay": pay, **dates(day)}
+    shop.csv("employees/year=2024/month=1/day=1/1.csv", [employee(1, "a@b.c", "10.5", "2024-01-01"), employee(2, "broken", "11", "2024-01-01"), employee("", "x@y.z", "11", "2024-01-01")])
+    shop.csv("location/1.csv", [{"location_id": "l1", "city": "A", **dates("2024-01-01")}])
+    shop.csv("products/1.csv", [{"product_id": "p1", "label": "ball", **dates("2024-01-01")}])
+    shop.json(
+        "sales/1.json",
+        [
+            sale("t1", "2024-02-01", [line(1, 10.0, quantity=2), line(2, 5.0, product="p9")]),
+            sale("t2", "2024-03-01", [line(1, 7.5)], customer_id="c9", location_id="l9"),
+            sale("t3", "2024-03-02", []),
+        ],
+    )
+    store = RetailStore(spark, shop.conf)
+    store.run()
+    store.first = {
+        "facts": rows(store.fact.read(), "transaction_id", "line_item_id", "dim_product_key IS NULL", "dim_location_key = '-1'", "line_total"),
+        "summary": rows(store.summary(), "transaction_id", "total_amount", "total_quantity", "line_item_count"),
+        "customers": rows(store.silver("customers").read(), "customer_id", "city"),
+    }
+    # second delivery: corrections, a delete, late rows, a new column in the middle
+    shop.json("customers/2.json", [customer("c2", "2024-04-01", "DELETE"), customer("c1", "2024-02-01", city="late", operation_day="2024-02-01")])
+    shop.csv("location/2.csv", [{"location_id": "l9", "zone": "Z", "city": "B", **dates("2024-01-15")}])
+    shop.json("sales/2.json", [sale("t1", "2024-02-01", [line(1, 20.0, quantity=4)], modified="2024-02-05"), sale("t4", "2024-05-01", [line(1, 1.0)])])
+    store.run()
+    return store
+
+
+def rows(df, *columns):
+    return sorted((tuple(r) for r in df.selectExpr(*columns).collect()), key=repr)
+
+
+def test_first_delivery(store):
+    assert store.first["facts"] == [
+        ("t1", 1, False, False, 10.0),
+        ("t1", 2, True, False, 5.0),
+        ("t2", 1, False, True, 7.5),
+    ]
+    assert store.first["summary"] == [("t1", 10.0, 2, 1), ("t1", 5.0, 1, 1), ("t2", 7.5, 1, 1)]
+    assert store.first["customers"] == [("c1", "Y"), ("c2", "X")]
+
+
+def test_silver_keeps_current_rows_and_drops_deleted_and_invalid_ones(store):
+    assert rows(store.silver("customers").read(), "customer_id", "city") == [("c1", "Y")]
+    employees = store.silver("employees").read()
+    assert rows(employees, "employee_id", "pay") == [(1, 10.5)]
+    assert not {"year", "month", "day", "_rescued_data", "ingestion_ts"} & set(employees.columns)
+    assert rows(store.silver("departments").read(), "dept_id", "name") == [("d1", "Toys")]
+    assert rows(store.silver("location").read(), "location_id", "city", "zone") == [("l1", "A", None), ("l9", "B", "Z")]
+    assert rows(store.silver("sales").read(), "transaction_id", "cast(transaction_date AS string)") == [
+        ("t1", "2024-02-01"), ("t2", "2024-03-01"), ("t3", "2024-03-02"), ("t4", "2024-05-01"),
+    ]
+
+
+def test_dimensions_keep_history_with_late_rows_spliced_in(store):
+    history = rows(store.dimension("customers").read(), "customer_id", "city", "cast(__START_AT AS string)", "cast(__END_AT AS string)")
+    assert history == [
+        ("c1", "X", "2024-01-01", "2024-02-01"),
+        ("c1", "Y", "2024-03-01", None),
+        ("c1", "late", "2024-02-01", "2024-03-01"),
+        ("c2", "X", "2024-01-01", "2024-04-01"),
+        ("c2", "X", "2024-04-01", None),
+    ]
+    assert store.dimension("employees").read().where("employee_id = 2").count() == 1
+
+
+def test_facts_follow_corrections_and_late_dimension_rows(store):
+    facts = store.fact.read()
+    assert rows(facts, "transaction_id", "line_item_id", "line_total", "dim_location_key = '-1'") == [
+        ("t1", 1, 20.0, False), ("t1", 2, 5.0, False), ("t2", 1, 7.5, False), ("t4", 1, 1.0, False),
+    ]
+    late = store.dimension("customers").read().where("city = 'late'").first().dim_customer_key
+    assert rows(facts.where("transaction_id = 't1'"), "dim_customer_key") == [(late,), (late,)]
+    assert rows(facts.where("dim_customer_key = '-1'"), "transaction_id") == [("t2",)]
+
+
+def test_incremental_fact_equals_fact_from_scratch(store):
+    whole = sales_facts(store.silver("sale_details").read(), store.silver("sales").read(), store._dimensions())
+    columns = [c for c in whole.columns if c != "gold_processed_ts"]
+    assert rows(store.fact.read(), *columns) == rows(whole, *columns)
+
+
+def test_registered_names(store, spark):
+    store.register()
+    assert spark.table("bronze.location").count() == 2
+    assert spark.sql("SELECT max(zone) FROM bronze.location").first()[0] == "Z"
+    assert spark.sql("SELECT count(*) FROM gold_dim_customers").first()[0] == 5
+    assert spark.table("gold.v_sales_summary").count() == 4
+    comment = spark.sql("DESCRIBE TABLE EXTENDED bronze.location").where("col_name = 'Comment'").first().data_type
+    assert comment == "location as they landed"
+
+
+def test_quarantine_names_the_broken_rules(store, spark):
+    aside = spark.read.parquet(store.conf.table("quarantine", "silver_employees"))
+    assert rows(aside, "quarantine_reason") == [("valid_email",), ("valid_id",)]
+
+
+def test_conf_from_session(spark):
+    spark.conf.set("source_path", "/s")
+    spark.conf.set("buckets", "7")
+    conf = PipelineConf.from_session(spark, table_path="/t", checkpoint_path="/c")
+    assert (conf.source_path, conf.buckets, conf.table("gold", "x")) == ("/s", 7, "/t/gold/x")
+    spark.conf.unset("buckets")
