@@ -1,4 +1,11 @@
-from strata.plans.facts import Dimension, asof_dimensions, join_header, sales_facts, sales_summary
+from strata.plans.facts import (
+    Dimension,
+    asof_dimensions,
+    join_header,
+    recompute_facts,
+    sales_facts,
+    sales_summary,
+)
 from strata.plans.retail import RULES, RetailStore
 
 __all__ = [
@@ -7,6 +14,7 @@ __all__ = [
     "RetailStore",
     "asof_dimensions",
     "join_header",
+    "recompute_facts",
     "sales_facts",
     "sales_summary",
 ]

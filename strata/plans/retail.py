@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from strata.conf import PipelineConf
 from strata.functions import cast_columns, explode_items, flatten_struct, stamp, surrogate_key
 from strata.operators.quality import get_rules, rules_frame
-from strata.plans.facts import Dimension, sales_facts, sales_summary
+from strata.plans.facts import Dimension, recompute_facts, sales_summary
 from strata.sources import (
     Landing,
     SchemaStore,
@@ -205,11 +205,7 @@ class RetailStore:
         self._cdc(name, None, self.dimension(name), f"gold_dim_{name}", versions)
 
     def load_facts(self) -> None:
-        """Recompute the facts of every transaction that was sent again, from both silver tables as they are now.
-
-        Reading the stored other side by touched transactions takes the place of a stream-stream join, whose state would
-        have to keep every transaction for ever.
-        """
+        """Recompute the facts of every transaction that was sent again, from both silver tables as they are now."""
         stream = self._stream("sales")
         run_available(
             stream, lambda batch, _: self._recompute(batch.select("transaction_id")), self.conf.checkpoint("gold_facts")
@@ -296,16 +292,9 @@ class RetailStore:
         cdc_flow(self._stream(source), target, self.conf.checkpoint(flow), transform, rules, aside)
 
     def _recompute(self, transactions: DataFrame) -> None:
-        headers, details = self.silver("sales"), self.silver("sale_details")
-        touched = transactions.distinct().persist()
-        try:
-            buckets = [r[0] for r in touched.select(headers.bucket()).distinct().collect()]
-            if not buckets:
-                return
-            pick = lambda table: table.read(buckets).join(touched, "transaction_id", "left_semi")
-            self.fact.upsert(sales_facts(pick(details), pick(headers), self._dimensions()))
-        finally:
-            touched.unpersist()
+        recompute_facts(
+            transactions, self.silver("sale_details"), self.silver("sales"), self._dimensions(), self.fact
+        )
 
     def _dimensions(self) -> list[Dimension]:
         out = []

@@ -1,4 +1,4 @@
-from strata.streaming.runs import run_available
+from strata.streaming.runs import append_flow, run_available
 from strata.streaming.target import ChangeSpec, KeyedTarget, cdc_flow
 
-__all__ = ["ChangeSpec", "KeyedTarget", "cdc_flow", "run_available"]
+__all__ = ["ChangeSpec", "KeyedTarget", "append_flow", "cdc_flow", "run_available"]

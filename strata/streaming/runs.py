@@ -16,3 +16,17 @@ def run_available(stream: DataFrame, handle: Callable[[DataFrame, int], None], c
         .start()
     )
     query.awaitTermination()
+
+
+def append_flow(stream: DataFrame, table: str, checkpoint: str, path: str | None = None) -> DataFrame:
+    """Append all available rows of a stream to a named Parquet table, each row once, and return the table."""
+    writer = (
+        stream.writeStream.format("parquet")
+        .outputMode("append")
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+    )
+    if path:
+        writer = writer.option("path", path)
+    writer.toTable(table).awaitTermination()
+    return stream.sparkSession.read.table(table)
