@@ -1,4 +1,4 @@
-from strata.functions.keys import VOLATILE_COLUMNS, event_order, row_hash, surrogate_key
+from strata.functions.keys import VOLATILE_COLUMNS, event_order, order_columns, row_hash, surrogate_key
 from strata.functions.shaping import (
     cast_columns,
     explode_items,
@@ -14,6 +14,7 @@ __all__ = [
     "explode_items",
     "flatten_struct",
     "misfits",
+    "order_columns",
     "row_hash",
     "stamp",
     "surrogate_key",

@@ -43,9 +43,23 @@ def event_order(
 
     Without an explicit ``tie_break`` the source file decides between events of equal sequence, if it is known.
     """
-    if tie_break is None:
-        tie_break = ["file_name"] if "file_name" in df.columns else []
-    return [_col(sequence_by), *[F.col(c) for c in tie_break], row_hash(df)]
+    return [_col(sequence_by), *[F.col(c) for c in _ties(df, tie_break)], row_hash(df)]
+
+
+def order_columns(
+    df: DataFrame, sequence_by: str | Column, tie_break: Sequence[str] | None = None
+) -> tuple[list[str], dict[str, Column]]:
+    """The same order as column names, and those of them that have to be added to the frame."""
+    by_name = isinstance(sequence_by, str)
+    sequence = sequence_by if by_name else "__seq"
+    added = {"__hash": row_hash(df), **({} if by_name else {sequence: sequence_by})}
+    return [sequence, *_ties(df, tie_break), "__hash"], added
+
+
+def _ties(df: DataFrame, tie_break: Sequence[str] | None) -> Sequence[str]:
+    if tie_break is not None:
+        return tie_break
+    return ["file_name"] if "file_name" in df.columns else []
 
 
 def _col(c: str | Column) -> Column:

@@ -11,11 +11,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.functions.keys import event_order
+from strata.functions.keys import event_order, order_columns
 from strata.operators.skew import KEY, ROWS_PER_SLICE, SLICE, heavy_keys, with_slice
 
 START_AT, END_AT = "__START_AT", "__END_AT"
-_SEQ, _DELETED = "__seq", "__deleted"
+_DELETED = "__deleted"
 
 
 def split_unsequenced(changes: DataFrame, sequence_by: str | Column) -> tuple[DataFrame, DataFrame]:
@@ -122,13 +122,11 @@ def timeline(
     rows_per_slice: int | None = ROWS_PER_SLICE,
 ) -> DataFrame:
     """The source columns and ``__END_AT`` for every version and every delete."""
-    order = event_order(changes, sequence_by, tie_break)
-    names = [_SEQ, *[f"__tie_{i}" for i in range(1, len(order))]]
-    events = changes.withColumns(
-        {**dict(zip(names, order)), _DELETED: _predicate(apply_as_deletes)}
-    ).where(F.col(_SEQ).isNotNull())
-
-    heavy = heavy_keys(events, keys, _SEQ, rows_per_slice) if rows_per_slice else None
+    names, computed = order_columns(changes, sequence_by, tie_break)
+    events = changes.withColumns({**computed, _DELETED: _predicate(apply_as_deletes)}).where(
+        F.col(names[0]).isNotNull()
+    )
+    heavy = heavy_keys(events, keys, names[0], rows_per_slice) if rows_per_slice else None
     if heavy is None:
         versions = _versions(events, keys, names, track_columns)
     else:
@@ -159,9 +157,12 @@ def _versions(
     events: DataFrame, keys: Sequence[str], order: Sequence[str], track: Sequence[str] | None
 ) -> DataFrame:
     """All windows share one partitioning and one order, hence one shuffle and one sort."""
+    sequence = order[0]
     timeline = Window.partitionBy(*keys).orderBy(*order)
-    following = F.lead(_SEQ).over(timeline)
-    versions = events.withColumn(END_AT, following).where(_ends_tie())
+    following = F.lead(sequence).over(timeline)
+    versions = events.withColumn(END_AT, following).where(
+        F.col(END_AT).isNull() | (F.col(END_AT) != F.col(sequence))
+    )
     if track is not None:
         state = F.struct(*track, _DELETED)
         versions = (
@@ -185,15 +186,16 @@ def _sliced_versions(
     What a slice must know of its neighbours (the first sequence after it, the tracked values before it) is one row per
     non-empty slice of a heavy key, aggregated before it is shuffled.
     """
-    single = _last(events, [*keys, _SEQ], [F.col(c) for c in order])
-    sliced = with_slice(single, heavy, keys, _SEQ)
-    timeline = Window.partitionBy(KEY, SLICE).orderBy(_SEQ)
+    sequence = order[0]
+    single = _last(events, [*keys, sequence], [F.col(c) for c in order])
+    sliced = with_slice(single, heavy, keys, sequence)
+    timeline = Window.partitionBy(KEY, SLICE).orderBy(sequence)
     between = Window.partitionBy(KEY).orderBy(SLICE)
 
     if track is not None:
         state = F.struct(*track, _DELETED)
         before = (
-            with_slice(events, heavy, keys, _SEQ)
+            with_slice(events, heavy, keys, sequence)
             .where("__slices IS NOT NULL")
             .groupBy(KEY, SLICE)
             .agg(F.max_by(state, F.struct(*order)).alias("__last"))
@@ -210,25 +212,21 @@ def _sliced_versions(
         )
         heavy_events = sliced
     else:
-        heavy_events = with_slice(events.select(*keys, _SEQ), heavy, keys, _SEQ)
+        heavy_events = with_slice(events.select(*keys, sequence), heavy, keys, sequence)
 
     after = (
         heavy_events.where("__slices IS NOT NULL")
         .groupBy(KEY, SLICE)
-        .agg(F.min(_SEQ).alias("__first"))
+        .agg(F.min(sequence).alias("__first"))
         .select(KEY, SLICE, F.lead("__first").over(between).alias("__after"))
     )
     return (
         sliced.join(after, [KEY, SLICE], "left")
-        .withColumn(END_AT, F.coalesce(F.lead(_SEQ).over(timeline), F.col("__after")))
+        .withColumn(END_AT, F.coalesce(F.lead(sequence).over(timeline), F.col("__after")))
         .drop("__after", KEY, SLICE, "__slices")
     )
 
 
-def _ends_tie() -> Column:
-    return F.col(END_AT).isNull() | (F.col(END_AT) != F.col(_SEQ))
-
-
 def _predicate(p: str | Column | None) -> Column:
     if p is None:
         return F.lit(False)

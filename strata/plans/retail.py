@@ -212,11 +212,16 @@ class RetailStore:
         )
 
     def refresh_facts(self, name: str) -> None:
-        """Recompute the facts that refer to dimension members which changed since the last refresh."""
+        """Recompute the facts that refer to dimension members which changed since the last refresh.
+
+        While there are no facts there is nothing to do: :meth:`load_facts` uses the dimensions as they are.
+        """
         key = DATASETS[name].key
         holder = self.silver("sale_details" if name == "products" else "sales")
 
         def handle(batch: DataFrame, _: int) -> None:
+            if not self.fact.has_rows():
+                return
             changed = cast_columns(batch, DATASETS[name].types).select(key).distinct()
             rows = holder.read().select("transaction_id", key)
             self._recompute(rows.join(changed, key, "left_semi").select("transaction_id"))
@@ -240,10 +245,10 @@ class RetailStore:
         dimensions = [d.name for d in DATASETS.values() if d.dimension_key]
         for name in dimensions:
             self.load_dimension(name)
-        self.load_facts()
         if refresh:
             for name, _ in _FACT_DIMENSIONS:
                 self.refresh_facts(name)
+        self.load_facts()
         self.load_summary()
 
     def register(self) -> None:

@@ -9,7 +9,9 @@ def spark():
     session = (
         SparkSession.builder.master("local[8]")
         .appName("strata-tests")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "3")
+        .config("spark.sql.streaming.pollingDelay", "1ms")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "6g")

@@ -82,3 +82,10 @@ def test_surrogate_key_skips_null(spark):
     import hashlib
 
     assert df.select(surrogate_key("x", "y", F.col("z"))).first()[0] == hashlib.sha256(b"a||1").hexdigest()
+
+
+def test_rules_reach_the_scan(spark, tmp_path):
+    people(spark).write.parquet(str(tmp_path / "p"))
+    kept = expect_all_or_drop(spark.read.parquet(str(tmp_path / "p")), {"a": "id IS NOT NULL", "b": "id > 1"})
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(id), GreaterThan(id,1)]" in plan

@@ -10,12 +10,24 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.plans import recompute_facts
+from strata.operators import asof_left_join
+from strata.plans import join_header, recompute_facts
 from strata.session import scratch_path
 from strata.sources import Landing, SchemaStore, bronze_frame, bronze_stream, ingest
 from strata.streaming import ChangeSpec, KeyedTarget, append_flow, cdc_flow, run_available
 from workload.batch import comparable_facts, day
-from workload.roles import EVENT_DELETE, EVENT_KEYS, EVENT_SEQUENCE, LINE_KEYS, LINE_TIES, dimensions, sale_headers, sale_lines, table
+from workload.roles import (
+    EVENT_DELETE,
+    EVENT_KEYS,
+    EVENT_SEQUENCE,
+    LINE_KEYS,
+    LINE_TIES,
+    customer_history,
+    dimensions,
+    sale_headers,
+    sale_lines,
+    table,
+)
 
 BATCHES = 3
 
@@ -32,8 +44,9 @@ class Landed:
         df.write.mode("append").option("header", "true").partitionBy(*partitions).csv(self.landing.path)
 
     def drop_json(self, df: DataFrame) -> None:
-        """Each task writes its rows as one indented-style JSON array."""
-        rows = df.select(F.to_json(F.struct(*df.columns)).alias("value"))
+        """Each task writes its rows as one JSON array. Such a file is read by one task, hence the many tasks here."""
+        files = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        rows = df.repartition(files).select(F.to_json(F.struct(*df.columns)).alias("value"))
         rows.mapInPandas(_json_array, "value string").write.mode("append").text(self.landing.path)
 
     def ingest(self) -> DataFrame:
@@ -158,6 +171,23 @@ def append_only_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return append_flow(purchases, "strata_purchases", f"{root}/c2", f"{root}/purchases")
 
 
+def stream_join_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two streams joined on the transaction, then to stored history, in one append-mode query.
+
+    For input that ends. A join of endless streams keeps every row as state: there ``recompute_facts`` is the way.
+    """
+    root = scratch_path(spark, "joined")
+    lines = _streamed(spark, sale_lines(spark, sf_dir).select(*LINE_KEYS, "product_id", "l_suppkey", "line_total"), "product_id")
+    headers = _streamed(spark, sale_headers(spark, sf_dir), "customer_id")
+    joined = join_header(lines, headers, ["transaction_id"], ["customer_id", "transaction_date"])
+    out = asof_left_join(
+        joined, customer_history(spark, sf_dir), ["customer_id"], "transaction_date", ["dim_customer_key"], unknown="-1"
+    )
+    spark.sql("DROP TABLE IF EXISTS strata_joined")
+    stored = append_flow(out, "strata_joined", f"{root}/checkpoint", f"{root}/table")
+    return stored.withColumn("transaction_date", day("transaction_date"))
+
+
 _EVENT_SPEC = ChangeSpec(tuple(EVENT_KEYS), EVENT_SEQUENCE, tie_break=("event_id",), buckets=8)
 
 
@@ -241,6 +271,7 @@ QUERIES = {
     "schema_evolution": schema_evolution,
     "rescued_data": rescued_data,
     "append_only_table": append_only_table,
+    "stream_join_append": stream_join_append,
     "incremental_scd1": incremental_scd1,
     "incremental_scd2": incremental_scd2,
     "scd1_out_of_order": scd1_out_of_order,

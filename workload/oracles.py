@@ -214,6 +214,13 @@ ORACLES = {
         " CASE WHEN o_orderstatus = 'P' THEN '{\"o_totalprice\":\"n/a ' || o_orderkey || '\"}' END AS rescued FROM orders"
     ),
     "append_only_table": "SELECT * FROM events WHERE event_type = 'purchase'",
+    "stream_join_append": (
+        f"WITH {_CUSTOMERS}, x AS (SELECT *, CAST(o_orderdate AS DATE) AS d FROM lineitem JOIN orders ON o_orderkey = l_orderkey)"
+        " SELECT l_orderkey AS transaction_id, l_linenumber AS line_item_id, l_partkey AS product_id, l_suppkey,"
+        " l_extendedprice AS line_total, o_custkey AS customer_id, CAST(x.d AS VARCHAR) AS transaction_date,"
+        " coalesce(k, '-1') AS dim_customer_key FROM x LEFT JOIN cust"
+        " ON customer_id = o_custkey AND x.d >= cust.d AND x.d < coalesce(e, DATE '9999-12-31')"
+    ),
     "incremental_scd1": _latest(f"{_EVENT}, props", " AND event_type <> 'error'"),
     "incremental_scd2": _HISTORY + " WHERE event_type <> 'error'",
     "scd1_out_of_order": _latest(f"{_EVENT}, props"),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from strata.functions import surrogate_key
 from strata.operators import scd1, scd2
 from strata.plans import Dimension
+from strata.session import written
 
 EVENT_KEYS, EVENT_SEQUENCE, EVENT_DELETE = ["user_id"], "ts", "event_type = 'error'"
 
@@ -69,20 +70,21 @@ def customer_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customer_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored, as dimensions are: facts are joined to tables, not to the queries behind them."""
     changes = customer_changes(spark, sf_dir).withColumn(
         "dim_customer_key", surrogate_key("customer_id", "modified_date")
     )
-    return scd2(changes, ["customer_id"], "modified_date", ["priority"])
+    return written(scd2(changes, ["customer_id"], "modified_date", ["priority"]), "dim-customer")
 
 
 def _periodic(df: DataFrame, key: str, period: str, date: str, effective, name: str) -> DataFrame:
-    """History with one version per key and calendar period."""
+    """Stored history with one version per key and calendar period, so no key can have many."""
     changes = (
         df.groupBy(key, F.date_trunc(period, date).alias("period"))
         .agg(effective.cast("date").alias("modified_date"))
         .select(key, "modified_date", surrogate_key(key, "modified_date").alias(name))
     )
-    return scd2(changes, [key], "modified_date")
+    return written(scd2(changes, [key], "modified_date", rows_per_slice=None), f"dim-{key}")
 
 
 def dimensions(spark: SparkSession, sf_dir: str) -> list[Dimension]:
