@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.keys import event_order, order_columns
-from strata.operators.skew import KEY, ROWS_PER_SLICE, SLICE, heavy_keys, with_slice
+from strata.operators.skew import KEY, ROWS_PER_SLICE, SLICE, heavy_keys, heavy_rows, other_rows
 
 START_AT, END_AT = "__START_AT", "__END_AT"
 _DELETED = "__deleted"
@@ -130,7 +130,9 @@ def timeline(
     if heavy is None:
         versions = _versions(events, keys, names, track_columns)
     else:
-        versions = _sliced_versions(events, heavy, keys, names, track_columns)
+        usual = _versions(other_rows(events, heavy, keys), keys, names, track_columns)
+        cut = _sliced_versions(events, heavy, keys, names, track_columns)
+        versions = usual.unionByName(cut)
     return versions.select(*changes.columns, END_AT)
 
 
@@ -181,23 +183,22 @@ def _sliced_versions(
     order: Sequence[str],
     track: Sequence[str] | None,
 ) -> DataFrame:
-    """:func:`_versions` with the timelines of heavy keys cut into slices.
+    """:func:`_versions` of heavy keys, by (key, slice) instead of key.
 
-    What a slice must know of its neighbours (the first sequence after it, the tracked values before it) is one row per
-    non-empty slice of a heavy key, aggregated before it is shuffled.
+    Ties go first, in a window by (key, sequence), so that not even one heavy instant reaches a single task. What a slice
+    must know of its neighbours (the first sequence after it, the tracked values before it) is one row per non-empty
+    slice, aggregated before it is shuffled.
     """
     sequence = order[0]
-    single = _last(events, [*keys, sequence], [F.col(c) for c in order])
-    sliced = with_slice(single, heavy, keys, sequence)
+    rows = heavy_rows(events, heavy, keys, sequence)
+    sliced = _last(rows, [KEY, SLICE, sequence], [F.col(c) for c in order])
     timeline = Window.partitionBy(KEY, SLICE).orderBy(sequence)
     between = Window.partitionBy(KEY).orderBy(SLICE)
 
     if track is not None:
         state = F.struct(*track, _DELETED)
         before = (
-            with_slice(events, heavy, keys, sequence)
-            .where("__slices IS NOT NULL")
-            .groupBy(KEY, SLICE)
+            rows.groupBy(KEY, SLICE)
             .agg(F.max_by(state, F.struct(*order)).alias("__last"))
             .select(KEY, SLICE, F.lag("__last").over(between).alias("__before"))
         )
@@ -210,20 +211,19 @@ def _sliced_versions(
             .where("NOT __same")
             .drop("__same", "__before")
         )
-        heavy_events = sliced
+        starts = sliced
     else:
-        heavy_events = with_slice(events.select(*keys, sequence), heavy, keys, sequence)
+        starts = rows
 
     after = (
-        heavy_events.where("__slices IS NOT NULL")
-        .groupBy(KEY, SLICE)
+        starts.groupBy(KEY, SLICE)
         .agg(F.min(sequence).alias("__first"))
         .select(KEY, SLICE, F.lead("__first").over(between).alias("__after"))
     )
     return (
         sliced.join(after, [KEY, SLICE], "left")
         .withColumn(END_AT, F.coalesce(F.lead(sequence).over(timeline), F.col("__after")))
-        .drop("__after", KEY, SLICE, "__slices")
+        .drop("__after", KEY, SLICE)
     )
 
 

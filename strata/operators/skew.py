@@ -83,9 +83,18 @@ def slice_of(place: Column) -> Column:
     return F.when(F.col("__span") > 0, clipped.cast("int")).otherwise(F.lit(0))
 
 
-def with_slice(df: DataFrame, heavy: DataFrame, keys: Sequence[str], at: str) -> DataFrame:
-    """Add the key struct, the slice number and, for heavy keys, the non-NULL ``__slices``."""
+def heavy_rows(df: DataFrame, heavy: DataFrame, keys: Sequence[str], at: str) -> DataFrame:
+    """The rows of heavy keys, with the key struct and the slice number."""
     place = position(df, at)
-    joined = df.withColumn(KEY, key_struct(keys)).join(heavy, KEY, "left")
     number = slice_of(place) if place is not None else F.lit(0)
-    return joined.withColumn(SLICE, number).drop("__lo", "__span")
+    return (
+        df.withColumn(KEY, key_struct(keys))
+        .join(heavy, KEY)
+        .withColumn(SLICE, number)
+        .drop("__lo", "__span", "__slices")
+    )
+
+
+def other_rows(df: DataFrame, heavy: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of all other keys."""
+    return df.withColumn(KEY, key_struct(keys)).join(heavy, KEY, "left_anti").drop(KEY)

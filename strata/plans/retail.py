@@ -222,8 +222,8 @@ class RetailStore:
         def handle(batch: DataFrame, _: int) -> None:
             if not self.fact.has_rows():
                 return
-            changed = cast_columns(batch, DATASETS[name].types).select(key).distinct()
             rows = holder.read().select("transaction_id", key)
+            changed = batch.select(F.col(key).try_cast(rows.schema[key].dataType).alias(key)).distinct()
             self._recompute(rows.join(changed, key, "left_semi").select("transaction_id"))
 
         run_available(self._stream(name), handle, self.conf.checkpoint(f"gold_refresh_{name}"))

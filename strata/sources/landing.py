@@ -119,12 +119,14 @@ def read_files(
     None when the files hold no row at all.
     """
     read = _read_csv if landing.format == "csv" else _read_json
-    found = read(spark, landing, paths, store.load())
+    stored = store.load()
+    found = read(spark, landing, paths, stored)
     if found is None:
         return None
     raw, observed = found
-    schema = merge_schemas(store.load(), observed)
-    store.save(schema)
+    schema = merge_schemas(stored, observed)
+    if schema != stored:
+        store.save(schema)
     return _typed(raw, schema, observed)
 
 
@@ -159,7 +161,7 @@ def _layouts(spark: SparkSession, landing: Landing, paths: Sequence[str]) -> dic
     headers = lines.groupBy("file").agg(F.min_by("value", "line").alias("header"))
     layouts: dict[tuple[str, ...], list[str]] = {}
     for row in headers.orderBy("file").collect():
-        names = next(csv.reader([row.header.lstrip("﻿")], delimiter=landing.options.get("sep", ",")))
+        names = next(csv.reader([row.header.lstrip("\ufeff")], delimiter=landing.options.get("sep", ",")))
         layouts.setdefault(_unique(names), []).append(unquote(row.file))
     return layouts
 

@@ -15,6 +15,9 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "6g")
+        # Compiling code costs more than running it on a handful of rows.
+        .config("spark.sql.codegen.wholeStage", "false")
+        .config("spark.sql.codegen.factoryMode", "NO_CODEGEN")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -99,7 +99,15 @@ def store(spark, tmp_path_factory):
     shop.json("customers/2.json", [customer("c2", "2024-04-01", "DELETE"), customer("c1", "2024-02-01", city="late", operation_day="2024-02-01")])
     shop.csv("location/2.csv", [{"location_id": "l9", "zone": "Z", "city": "B", **dates("2024-01-15")}])
     shop.json("sales/2.json", [sale("t1", "2024-02-01", [line(1, 20.0, quantity=4)], modified="2024-02-05"), sale("t4", "2024-05-01", [line(1, 1.0)])])
-    store.run()
+    for name in ("customers", "location", "sales"):
+        store.load_bronze(name)
+        store.load_silver(name)
+    store.load_sale_details()
+    for name in ("customers", "location"):
+        store.load_dimension(name)
+        store.refresh_facts(name)
+    store.load_facts()
+    store.load_summary()
     return store
 
 

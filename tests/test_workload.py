@@ -22,6 +22,18 @@ def duck():
     return connection
 
 
+@pytest.fixture(scope="module", autouse=True)
+def compiled(spark):
+    """These run as they would in production."""
+    settings = {"spark.sql.codegen.wholeStage": "true", "spark.sql.codegen.factoryMode": "FALLBACK"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
 def canonical(frame: pd.DataFrame) -> list[tuple]:
     frame = frame[sorted(frame.columns)]
     frame = frame.astype(object).where(frame.notna(), None)

@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.functions import cast_columns
 from strata.operators import asof_left_join
 from strata.plans import join_header, recompute_facts
 from strata.session import scratch_path
@@ -245,21 +246,29 @@ def fact_asof_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bronze_to_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files to append-only bronze to current rows: the whole way of one dataset."""
-    landed = Landed(spark, "csv", infer_types=True)
-    landed.drop_csv(table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value", F.col("ts").cast("string").alias("ts")))
+    landed = Landed(spark, "csv")
+    landed.drop_csv(table(spark, sf_dir, "events").drop("props"))
     landed.ingest()
     stream = bronze_stream(spark, f"{landed.root}/bronze", landed.store)
-    spec = ChangeSpec(("user_id",), "ts", tie_break=("event_id",), apply_as_deletes=EVENT_DELETE, buckets=8)
+    spec = ChangeSpec(
+        ("user_id",),
+        "ts",
+        tie_break=("event_id",),
+        apply_as_deletes=EVENT_DELETE,
+        except_columns=("_rescued_data", "ingestion_ts", "file_name", "ingest_batch"),
+        buckets=8,
+    )
     target = KeyedTarget(spark, f"{landed.root}/silver", spec)
+    types = {"event_id": "bigint", "user_id": "bigint", "value": "double", "ts": "timestamp_ntz"}
     cdc_flow(
         stream,
         target,
         f"{landed.root}/silver-checkpoint",
-        lambda df: df.selectExpr("CAST(event_id AS BIGINT) event_id", "CAST(user_id AS BIGINT) user_id", "event_type", "value", "CAST(ts AS STRING) ts"),
+        lambda df: cast_columns(df, types),
         {"valid_user": "user_id IS NOT NULL", "known_type": "event_type LIKE '%i%'"},
         f"{landed.root}/quarantine",
     )
-    return target.read().drop("ts")
+    return target.read()
 
 
 QUERIES = {

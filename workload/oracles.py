@@ -227,7 +227,7 @@ ORACLES = {
     "scd2_out_of_order": _HISTORY,
     "fact_asof_incremental": _FACTS + " SELECT * FROM f",
     "bronze_to_silver": (
-        "SELECT event_id, user_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id"
+        "SELECT event_id, ts, user_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id"
         " ORDER BY ts DESC, event_id DESC) AS rn FROM events WHERE event_type LIKE '%i%') WHERE rn = 1"
         " AND event_type <> 'error'"
     ),
