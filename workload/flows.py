@@ -247,7 +247,8 @@ def fact_asof_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bronze_to_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files to append-only bronze to current rows: the whole way of one dataset."""
     landed = Landed(spark, "csv")
-    landed.drop_csv(table(spark, sf_dir, "events").drop("props"))
+    # As text, because the CSV writer would shorten the time to milliseconds.
+    landed.drop_csv(table(spark, sf_dir, "events").drop("props").withColumn("ts", F.col("ts").cast("string")))
     landed.ingest()
     stream = bronze_stream(spark, f"{landed.root}/bronze", landed.store)
     spec = ChangeSpec(
