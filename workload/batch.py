@@ -225,7 +225,7 @@ def scd2_track(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scd2_heavy_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One key holds a third of all events; its timeline is cut into slices."""
+    """One key holds two fifths of all events; its timeline is cut into slices."""
     events = _events(spark, sf_dir).selectExpr(
         "event_id", "ts", "if(event_type IN ('click', 'view'), -1, user_id) AS user_id", "event_type"
     )
