@@ -10,7 +10,8 @@ import pytest
 import __spark_entry__ as entry_point
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLES = entry_point.queries(), entry_point.oracle_sql()
+ORACLES = {k: v for k, v in entry_point.oracle_sql().items() if k not in entry_point.LLM_QUERIES}
+QUERIES = {k: v for k, v in entry_point.queries().items() if k not in entry_point.LLM_QUERIES}
 
 
 @pytest.fixture(scope="module")
