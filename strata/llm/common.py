@@ -30,6 +30,12 @@ def with_text(df: DataFrame, text: str) -> DataFrame:
     return df.withColumn(text, F.coalesce(F.col(text), F.lit("")))
 
 
+def positional(df: DataFrame, *names: str) -> tuple[DataFrame, list[str]]:
+    """The frame with its columns named by place, so that no name can clash, and the new names of ``names``."""
+    places = [f"c{i}" for i in range(len(df.columns))]
+    return df.toDF(*places), [places[df.columns.index(n)] for n in names]
+
+
 def with_columns(schema: T.StructType, **types: str) -> T.StructType:
     """The schema with more columns at its end. A column of the same name (in any case) gives way to the new one."""
     new = {name.lower() for name in types}

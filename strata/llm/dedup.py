@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import UID, numbered, stored
+from strata.llm.common import UID, numbered, positional, stored
 
 WHITE_SPACE = " \t\n\x0b\x0c\r"
 # Bytes of the first slice, and how many times wider each following slice is.
@@ -95,6 +95,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 def without_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    kept = stored(numbered(docs), "radix-input")
-    dropped = decisions(_rows(kept, id_col, text_col)).where("NOT kept").select(UID)
-    return kept.join(dropped, UID, "left_anti").drop(UID).select(*docs.columns)
+    plain, (doc_id, text) = positional(docs, id_col, text_col)
+    rows = stored(numbered(plain), "radix-input")
+    dropped = decisions(_rows(rows, doc_id, text)).where("NOT kept").select(UID)
+    return rows.join(dropped, UID, "left_anti").drop(UID).toDF(*docs.columns)

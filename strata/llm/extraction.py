@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import arrow_map, stored, with_columns
+from strata.llm.common import arrow_map, positional, stored, with_columns
 
 # A path wins on a host with at least this share of its votes, so there are at most ten.
 SHARE = 0.1
@@ -230,7 +230,7 @@ def host_of(url: Column) -> Column:
 
 
 def winning_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html", share: float = SHARE) -> DataFrame:
-    """``__host, __paths``: the paths with at least ``share`` of their host's votes, the most votes first."""
+    """``host, paths``: the paths with at least ``share`` of their host's votes, the most votes first."""
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -242,8 +242,8 @@ def winning_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html"
     counted = stored(votes.where("path IS NOT NULL").groupBy("host", "path").agg(F.count(F.lit(1)).alias("n")), "votes")
     total = counted.groupBy("host").agg(F.sum("n").alias("total"))
     won = counted.join(total, "host").where(F.col("n") >= share * F.col("total"))
-    ranked = won.groupBy(F.col("host").alias("__host")).agg(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("n"), "path"))).alias("won"))
-    return stored(ranked.select("__host", F.col("won.path").alias("__paths")), "paths")
+    ranked = won.groupBy("host").agg(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("n"), "path"))).alias("won"))
+    return stored(ranked.select("host", F.col("won.path").alias("paths")), "paths")
 
 
 def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html", share: float = SHARE) -> DataFrame:
@@ -254,19 +254,19 @@ def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html", shar
     stay, other columns too; a column with the name of a new one gives way to it. An empty table gives an empty result.
     """
     winners = winning_paths(pages, url_col, html_col, share)
-    joined = pages.withColumn("__host", host_of(F.col(url_col))).join(winners, "__host", "left").drop("__host")
-    schema = with_columns(pages.drop(html_col).schema, text="string", n_chars="bigint")
+    plain, (url, source) = positional(pages, url_col, html_col)
+    kept = [(place, name) for place, name in zip(plain.columns, pages.columns, strict=True) if name not in (html_col, "text", "n_chars")]
+    joined = plain.withColumn("host", host_of(F.col(url))).join(winners, "host", "left").select(*(p for p, _ in kept), F.col(source).alias("source"), "paths")
+    schema = with_columns(joined.drop("source", "paths").schema, text="string", n_chars="bigint")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
 
         arrow = to_arrow_schema(schema)
         for batch in batches:
-            place = batch.schema.get_field_index
-            texts = [main_text(h or "", p or []) for h, p in zip(batch.column(place(html_col)).to_pylist(), batch.column(place("__paths")).to_pylist(), strict=True)]
-            made = {"text": texts, "n_chars": list(map(len, texts))}
-            columns = [pa.array(made[f.name], f.type) if f.name in made else batch.column(place(f.name)).cast(f.type) for f in arrow]
-            yield pa.RecordBatch.from_arrays(columns, schema=arrow)
-
-    return arrow_map(joined, read, schema)
+            *others, sources, paths = batch.columns
+            texts = [main_text(h or "", p or []) for h, p in zip(sources.to_pylist(), paths.to_pylist(), strict=True)]
+            columns = [*others, pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())]
+            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
 
+    return arrow_map(joined, read, schema).toDF(*(name for _, name in kept), "text", "n_chars")

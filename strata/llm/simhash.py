@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import UID, append_columns, numbered, stored
+from strata.llm.common import UID, append_columns, numbered, positional, stored
 from strata.llm.components import components
 
 BYTES, BITS, SEED = 8, 64, 42
@@ -149,9 +149,10 @@ def without_near_duplicates(
 ) -> DataFrame:
     """The rows of ``docs`` without all but one of each component, with all their columns: the smallest id stays (NULL
     last), then the row read first."""
-    rows = stored(numbered(fingerprinted(docs, text_col, words)), "fingerprints")
+    plain, (doc_id, text) = positional(docs, id_col, text_col)
+    rows = stored(numbered(fingerprinted(plain, text, words)), "fingerprints")
     labels = _labels(rows, max_bits, long_list)
-    members = rows.select(UID, F.col(id_col).alias("id"), "__fp").join(labels, "__fp")
+    members = rows.select(UID, F.col(doc_id).alias("id"), "__fp").join(labels, "__fp")
     order = F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col(UID).alias("uid"))
     kept = members.groupBy("root").agg(F.min(order).alias("best")).select(F.col("best.uid").alias(UID))
-    return rows.join(kept, UID, "left_semi").select(*docs.columns)
+    return rows.join(kept, UID, "left_semi").select(*plain.columns).toDF(*docs.columns)

@@ -22,14 +22,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import append_columns, arrow_map, stored
+from strata.llm.common import append_columns, arrow_map, positional, stored
 from strata.llm.vocab import WordCache
 
 #: At most about this many labelled rows are learned from (see `sample`), the size of the hashed n-gram table, and the
 #: length of its vectors. The driver holds SAMPLE * BUCKETS half-precision numbers.
 SAMPLE, BUCKETS, DIM = 8192, 1 << 14, 8
 NGRAMS = (3, 5)
-EPOCHS, BATCH, RATE, DECAY, SEED = 16, 512, 0.01, 1e-6, 7
+EPOCHS, BATCHES, RATE, DECAY, SEED = 16, 16, 0.01, 1e-6, 7
 THRESHOLD = 0.3
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -100,15 +100,15 @@ def fit(features: np.ndarray, labels: np.ndarray, dim: int = DIM, epochs: int =
     if share in (0.0, 1.0):
         return Model(np.zeros((buckets, dim)), np.zeros((dim, 2)), np.array([0.0, 50.0 if share else -50.0]))
     square = np.zeros(buckets)
-    for i in range(0, n, BATCH):
-        square += (features[i : i + BATCH].astype(np.float32) ** 2).sum(axis=0)
+    for part in np.array_split(features, -(-n // 512)):
+        square += (part.astype(np.float32) ** 2).sum(axis=0)
     scale = (0.1 / (np.sqrt(square / n) + 1e-5)).astype(np.float32)
     rng = np.random.default_rng(seed)
     parts = [rng.normal(0, 0.01, (buckets, dim)).astype(np.float32), rng.normal(0, 0.5, (dim, 2)).astype(np.float32), np.zeros(2, np.float32)]
     mean, spread = [np.zeros_like(p) for p in parts], [np.zeros_like(p) for p in parts]
     step = 0
     for _ in range(epochs):
-        for chosen in np.array_split(rng.permutation(n), max(1, n // BATCH)):
+        for chosen in np.array_split(rng.permutation(n), min(n, BATCHES)):
             step += 1
             embeddings, softmax, offsets = parts
             rows = features[chosen].astype(np.float32) * scale
@@ -195,4 +195,5 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 def without_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` with a score below ``threshold``, with all their columns."""
     model = train(docs, labels, id_col, text_col, label_col)
-    return scored(docs, model, text_col, "__toxicity").where(F.col("__toxicity") < threshold).select(*docs.columns)
+    rows, (text,) = positional(docs, text_col)
+    return scored(rows, model, text, "score").where(F.col("score") < threshold).drop("score").toDF(*docs.columns)
