@@ -27,7 +27,7 @@ class PipelineConf:
     def from_session(cls, spark: SparkSession, **overrides) -> PipelineConf:
         """Take every setting the session configuration has under the field's name."""
         found = {
-            name: field.type in ("int", int) and int(value) or value
+            name: int(value) if field.type in ("int", int) else value
             for name, field in cls.__dataclass_fields__.items()
             if (value := spark.conf.get(name, None)) is not None
         }

@@ -15,21 +15,33 @@ RULES_SCHEMA = T.StructType(
         T.StructField("rule_name", T.StringType()),
         T.StructField("sql_constraint", T.StringType()),
         T.StructField("tags", T.ArrayType(T.StringType())),
+        T.StructField("ordinal", T.IntegerType()),
     ]
 )
 
 
 def rules_frame(spark: SparkSession, rules: Iterable[tuple]) -> DataFrame:
-    """A rule catalogue from (pipeline, dataset, rule, predicate, tags) tuples."""
-    return spark.createDataFrame([(*r[:4], list(r[4])) for r in rules], RULES_SCHEMA)
+    """A rule catalogue from (pipeline, dataset, rule, predicate, tags) tuples, numbered in their order."""
+    return spark.createDataFrame([(*r[:4], list(r[4]), i) for i, r in enumerate(rules)], RULES_SCHEMA)
 
 
 def get_rules(rules: DataFrame, pipeline: str, dataset: str) -> dict[str, str]:
-    """{rule name: predicate} of one dataset. A catalogue is a handful of rows; of equal names the later one holds."""
+    """{rule name: predicate} of one dataset. A catalogue is a handful of rows.
+
+    With a column ``ordinal`` the highest of equal names holds. Without one a table has no order, so the same name with
+    different predicates is an error.
+    """
     rows = rules.where(
         (F.col("pipeline_name") == pipeline) & (F.col("dataset_name") == dataset)
-    ).select("rule_name", "sql_constraint")
-    return {r.rule_name: r.sql_constraint for r in rows.collect()}
+    )
+    if "ordinal" in rules.columns:
+        return {r.rule_name: r.sql_constraint for r in rows.orderBy("ordinal").collect()}
+    found: dict[str, str] = {}
+    for r in rows.select("rule_name", "sql_constraint").distinct().orderBy("rule_name").collect():
+        if r.rule_name in found:
+            raise ValueError(f"rule {r.rule_name} of {dataset} has different predicates and no ordinal")
+        found[r.rule_name] = r.sql_constraint
+    return found
 
 
 def rules_by_tag(rules: DataFrame, tag: str) -> DataFrame:

@@ -39,12 +39,17 @@ RULES = (
 
 # The columns of a customer that leave bronze.
 CUSTOMER_COLUMNS = (
-    *("customer_id", "first_name", "last_name", "email", "phone_number", "gender", "date_of_birth", "ssn"),
-    *("preferred_contact_method", "status", "created_date", "modified_date"),
-    *("address_line1", "address_line2", "city", "postal_code", "state", "country"),
-    *("file_name", "operation", "operation_date"),
-)
+    "customer_id", "first_name", "last_name", "email", "phone_number", "gender", "date_of_birth", "ssn",
+    "preferred_contact_method", "status", "created_date", "modified_date",
+    "address_line1", "address_line2", "city", "postal_code", "state", "country",
+    "file_name", "operation", "operation_date",
+)
 
+# The fields of a sale's line.
+_LINE_FIELDS = ("line_item_id", "product_id", "quantity", "unit_price", "discount_pct", "line_total")
+_LINE_ITEMS = (
+    "array<struct<line_item_id:bigint,product_id:string,quantity:bigint,unit_price:double,discount_pct:double,line_total:double>>"
+)
 _DATES = {"created_date": "date", "modified_date": "date"}
 _INTERNAL = ("_rescued_data", "ingestion_ts", "ingest_batch")
 
@@ -65,6 +70,8 @@ class Dataset:
     silver_deletes: str | None = None
     except_columns: Sequence[str] = _INTERNAL
     dimension_key: str | None = None
+    # Columns that have this type whatever the first files hold.
+    hints: Mapping[str, str] = field(default_factory=dict)
 
 
 DATASETS = {
@@ -97,6 +104,7 @@ DATASETS = {
             },
             except_columns=(*_INTERNAL, "year", "month", "day"),
             dimension_key="dim_employee_key",
+            hints={"pay": "double"},
         ),
         Dataset("location", "location_id", dimension_key="dim_location_key"),
         Dataset("products", "product_id", dimension_key="dim_product_key"),
@@ -107,11 +115,11 @@ DATASETS = {
             infer_types=True,
             types={**_DATES, "transaction_date": "date"},
             except_columns=(*_INTERNAL, "line_items"),
+            hints={"line_items": _LINE_ITEMS, "total_amount": "double"},
         ),
     )
 }
 
-_LINE_FIELDS = ("line_item_id", "product_id", "quantity", "unit_price", "discount_pct", "line_total")
 # Dimensions of the fact in output order: dataset, whether the unknown member stands in for a missing version.
 _FACT_DIMENSIONS = (("employees", True), ("customers", True), ("location", True), ("products", False))
 
@@ -176,7 +184,7 @@ class RetailStore:
     def load_bronze(self, name: str) -> None:
         d = DATASETS[name]
         landing = Landing(
-            self.conf.landing(name), d.format, d.infer_types, max_files=self.conf.max_files_per_trigger
+            self.conf.landing(name), d.format, d.infer_types, max_files=self.conf.max_files_per_trigger, hints=d.hints
         )
         ingest(self.spark, landing, self._bronze_path(name), self.conf.checkpoint(f"bronze_{name}"), self.schema_store(name))
 
@@ -250,6 +258,13 @@ class RetailStore:
                 self.refresh_facts(name)
         self.load_facts()
         self.load_summary()
+        self.expire()
+
+    def expire(self, keep: int = 2) -> None:
+        """Delete replaced generations of all targets except the newest ``keep``."""
+        targets = [*map(self.silver, [*DATASETS, "sale_details"]), *(self.dimension(d.name) for d in DATASETS.values() if d.dimension_key)]
+        for target in [*targets, self.fact]:
+            target.expire(keep)
 
     def register(self) -> None:
         """Declare bronze tables, and views ``<layer>_<table>`` on the others as they are now."""
@@ -294,7 +309,7 @@ class RetailStore:
         pipeline = "sales-etl" if source == "sales" else f"{source}-etl"
         rules = get_rules(self.rules, pipeline, f"silver_{dataset}") if dataset else {}
         aside = self.conf.table("quarantine", flow)
-        cdc_flow(self._stream(source), target, self.conf.checkpoint(flow), transform, rules, aside)
+        cdc_flow(self._stream(source), target, self.conf.checkpoint(flow), transform, rules, aside, DATASETS[source].types)
 
     def _recompute(self, transactions: DataFrame) -> None:
         recompute_facts(

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import csv
 import datetime as dt
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
@@ -32,13 +33,19 @@ LINEAGE = T.StructType(
 _LISTING = "path string, modificationTime timestamp, length long, content binary"
 
 
+# The file source leaves out files that are a week older than the newest one, unless told otherwise.
+NO_AGE = "36500d"
+
+
 @dataclass(frozen=True)
 class Landing:
     """One landing folder.
 
     ``format`` is csv (with header) or json (``multi_line``: a file is one document or one array of documents; such a file
     is read by one task, so keep files below some hundred MB). Without ``infer_types`` every column is a string. Files
-    older than ``since`` are passed over. ``key=value`` folder names below ``path`` become columns.
+    older than ``since`` are passed over. ``key=value`` folder names below ``path`` become columns. ``hints`` are columns
+    that always exist, with the type they have whatever the files hold. ``max_age`` is how much older than the newest
+    file a new one may be; by default there is no limit that a real file could reach.
     """
 
     path: str
@@ -48,6 +55,8 @@ class Landing:
     max_files: int = 1000
     since: dt.datetime | None = None
     options: Mapping[str, str] = field(default_factory=dict)
+    hints: Mapping[str, str] = field(default_factory=dict)
+    max_age: str = NO_AGE
 
 
 def discover(spark: SparkSession, landing: Landing) -> DataFrame:
@@ -57,6 +66,7 @@ def discover(spark: SparkSession, landing: Landing) -> DataFrame:
         .schema(_LISTING)
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", landing.max_files)
+        .option("maxFileAge", landing.max_age)
         .load(landing.path)
         .select("path", "modificationTime")
     )
@@ -76,7 +86,8 @@ def landing_stream(spark: SparkSession, landing: Landing, store: SchemaStore) ->
     reader = spark.readStream.format(landing.format).options(**_options(landing)).schema(schema)
     if landing.format == "csv":
         reader = reader.option("enforceSchema", "false")
-    return _with_lineage(reader.option("maxFilesPerTrigger", landing.max_files).load(landing.path))
+    reader = reader.option("maxFilesPerTrigger", landing.max_files).option("maxFileAge", landing.max_age)
+    return _with_lineage(reader.load(landing.path))
 
 
 def ingest(spark: SparkSession, landing: Landing, table: str, checkpoint: str, store: SchemaStore) -> None:
@@ -104,7 +115,7 @@ def bronze_stream(
     spark: SparkSession, table: str, store: SchemaStore, max_files: int | None = None
 ) -> DataFrame:
     """The bronze table as a stream of appended rows."""
-    reader = spark.readStream.schema(_bronze_schema(store))
+    reader = spark.readStream.schema(_bronze_schema(store)).option("maxFileAge", NO_AGE)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.parquet(table)
@@ -124,10 +135,34 @@ def read_files(
     if found is None:
         return None
     raw, observed = found
-    schema = merge_schemas(stored, observed)
+    schema = _hinted(merge_schemas(stored, observed), landing)
+    rows = _typed(raw, schema, observed)
+    # Only a schema that reads these files is remembered.
     if schema != stored:
         store.save(schema)
-    return _typed(raw, schema, observed)
+    return rows
+
+
+def _hinted(schema: T.StructType, landing: Landing) -> T.StructType:
+    """The schema with the declared types in place of others, and the declared columns that no file had so far."""
+    wanted = {n.lower(): (n, T._parse_datatype_string(t)) for n, t in landing.hints.items()}
+    fields = [T.StructField(f.name, wanted.pop(f.name.lower(), (None, f.dataType))[1]) for f in schema.fields]
+    return T.StructType(fields + [T.StructField(n, t) for n, t in wanted.values()])
+
+
+def literal(path: str) -> str:
+    """A path as readers take it: they expand patterns, so characters that stand for one are escaped."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
+def _load(reader, paths: Sequence[str]) -> DataFrame:
+    """Exactly these files. A file that is missing, or one that was not asked for, is an error."""
+    plain = lambda p: re.sub(r"^([A-Za-z][A-Za-z0-9+.-]*:)/+", r"\1/", p)
+    df = reader.load([literal(p) for p in paths])
+    asked, found = {plain(p) for p in paths}, {plain(unquote(p)) for p in df.inputFiles()}
+    if asked != found:
+        raise ValueError(f"files asked for and files found differ: {sorted(asked ^ found)[:5]}")
+    return df
 
 
 def _read_csv(
@@ -135,15 +170,18 @@ def _read_csv(
 ) -> tuple[DataFrame, T.StructType] | None:
     """Files are read per header layout, because Spark matches CSV columns by position, not by name."""
     frames, observed = [], None
-    known = set(stored.names) if stored else set()
-    for names, files in _layouts(spark, landing, paths).items():
+    # A column keeps the spelling it was first seen with.
+    spelling = {n.lower(): n for n in [*(stored.names if stored else ()), *landing.hints]}
+    known = set(stored.names if stored else ()) | {spelling[n.lower()] for n in landing.hints}
+    for header, files in _layouts(spark, landing, paths).items():
+        names = [spelling.setdefault(n.lower(), n) for n in header]
         text = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
-        raw = _with_lineage(_reader(spark, landing).schema(text).load(files))
+        raw = _with_lineage(_load(_reader(spark, landing).schema(text), files))
         fields = [f for f in raw.schema.fields if f.name not in {CORRUPT, *LINEAGE.names}]
         if landing.infer_types and not known.issuperset(names):
-            types = _reader(spark, landing, infer=True).load(files).schema
+            types = _load(_reader(spark, landing, infer=True), files).schema
             fields = [T.StructField(f.name, t.dataType) for f, t in zip(fields, types.fields)]
-        observed = merge_schemas(observed, T.StructType(fields))
+        observed = merge_schemas(observed, T.StructType(fields), widen=True)
         frames.append(raw)
     if not frames:
         return None
@@ -153,7 +191,7 @@ def _read_csv(
 def _layouts(spark: SparkSession, landing: Landing, paths: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
     """{column names: files} of a micro-batch."""
     lines = (
-        spark.read.text(list(paths))
+        _load(spark.read.format("text"), paths)
         .select("value", F.col("_metadata.file_path").alias("file"), "_metadata.file_block_start")
         .where("file_block_start = 0 AND trim(value) <> ''")
         .withColumn("line", F.monotonically_increasing_id())
@@ -167,10 +205,11 @@ def _layouts(spark: SparkSession, landing: Landing, paths: Sequence[str]) -> dic
 
 
 def _unique(names: Sequence[str]) -> tuple[str, ...]:
-    """Empty and repeated column names get their position."""
+    """Empty names and those repeated in any case get their position."""
     clean = [n.strip() for n in names]
+    lower = [n.lower() for n in clean]
     return tuple(
-        n if n and clean.count(n) == 1 else f"{n or '_c'}{i}" for i, n in enumerate(clean)
+        n if n and lower.count(n.lower()) == 1 else f"{n or '_c'}{i}" for i, n in enumerate(clean)
     )
 
 
@@ -178,19 +217,34 @@ def _read_json(
     spark: SparkSession, landing: Landing, paths: Sequence[str], stored: T.StructType | None
 ) -> tuple[DataFrame, T.StructType] | None:
     """Columns whose values do not have the remembered type in every file are read as text and cast row by row."""
-    inferred = _reader(spark, landing, infer=True).load(list(paths)).schema
-    observed = T.StructType([f for f in inferred.fields if f.name != CORRUPT])
-    merged = merge_schemas(stored, observed)
+    inferred = _inferred_json(spark, landing, paths)
+    spelling = {n.lower(): n for n in [*(stored.names if stored else ()), *landing.hints]}
+    source = {spelling.get(f.name.lower(), f.name): f.name for f in inferred.fields if f.name != CORRUPT}
+    observed = T.StructType([T.StructField(spelling.get(f.name.lower(), f.name), f.dataType) for f in inferred.fields if f.name != CORRUPT])
+    merged = _hinted(merge_schemas(stored, observed), landing)
     seen = {f.name: f.dataType for f in observed.fields}
     fields = [
-        T.StructField(f.name, f.dataType if _readable(f.dataType, seen.get(f.name)) else T.StringType())
+        T.StructField(source.get(f.name, f.name), f.dataType if _readable(f.dataType, seen.get(f.name)) else T.StringType())
         for f in merged.fields
     ]
     text = T.StructType([*fields, T.StructField(CORRUPT, T.StringType())])
-    raw = _reader(spark, landing).schema(text).load(list(paths))
+    raw = _load(_reader(spark, landing).schema(text), paths).withColumnsRenamed({old: new for new, old in source.items()})
     return _with_lineage(raw), observed
 
 
+def _inferred_json(spark: SparkSession, landing: Landing, paths: Sequence[str]) -> T.StructType:
+    """Columns and types of the files. When it infers multi-line JSON, Spark expands names as patterns once more, so
+    files with such names (few, as a rule) are handed to it as texts."""
+    odd = [p for p in paths if literal(p) != p]
+    plain = [p for p in paths if literal(p) == p]
+    schema = _load(_reader(spark, landing, infer=True), plain).schema if plain else None
+    if odd:
+        whole = _load(spark.read.format("text").option("wholetext", str(landing.multi_line).lower()), odd).select("value")
+        found = _reader(spark, landing, infer=True).json(whole.rdd.map(lambda r: r.value)).schema
+        schema = merge_schemas(schema, found, widen=True)
+    return schema
+
+
 def _readable(stored: T.DataType, seen: T.DataType | None) -> bool:
     """Can the JSON reader give every value of type ``seen`` as type ``stored``?"""
     if seen is None or stored == seen or isinstance(stored, T.StringType):
@@ -239,6 +293,8 @@ def _reader(spark: SparkSession, landing: Landing, infer: bool = False):
         return reader.option("columnNameOfCorruptRecord", CORRUPT)
     if landing.format == "csv":
         return reader.option("inferSchema", str(landing.infer_types).lower())
+    # A column of which only NULLs and empty arrays are known has no type yet.
+    reader = reader.option("dropFieldIfAllNull", "true")
     return reader.option("primitivesAsString", str(not landing.infer_types).lower())
 
 

@@ -37,25 +37,38 @@ class SchemaStore:
         ).first()
 
 
-def merge_schemas(stored: T.StructType | None, observed: T.StructType) -> T.StructType:
-    """Stored columns keep place and type; new ones, also inside structs and arrays of structs, come after them."""
+def merge_schemas(stored: T.StructType | None, observed: T.StructType, widen: bool = False) -> T.StructType:
+    """Stored columns keep place and type; new ones, also inside structs and arrays of structs, come after them.
+
+    Names are compared without case, as Spark resolves them, and keep the spelling they were first seen with. With
+    ``widen`` a column takes the narrowest type that holds both: for schemas of one batch, where no order decides.
+    """
     if stored is None:
         return _nullable(observed)
-    seen = {f.name: f for f in observed.fields}
+    seen = {f.name.lower(): f for f in observed.fields}
     known = [
-        T.StructField(f.name, _merge_types(f.dataType, seen[f.name].dataType) if f.name in seen else f.dataType)
+        T.StructField(f.name, _merge_types(f.dataType, seen[f.name.lower()].dataType, widen) if f.name.lower() in seen else f.dataType)
         for f in stored.fields
     ]
-    names = set(stored.names)
-    return T.StructType(known + [f for f in _nullable(observed).fields if f.name not in names])
+    names = {n.lower() for n in stored.names}
+    return T.StructType(known + [f for f in _nullable(observed).fields if f.name.lower() not in names])
+
+
+_NUMBERS = (T.IntegerType, T.LongType, T.DoubleType)
+_TIMES = (T.DateType, T.TimestampType)
 
 
-def _merge_types(stored: T.DataType, observed: T.DataType) -> T.DataType:
+def _merge_types(stored: T.DataType, observed: T.DataType, widen: bool) -> T.DataType:
     if isinstance(stored, T.StructType) and isinstance(observed, T.StructType):
-        return merge_schemas(stored, observed)
+        return merge_schemas(stored, observed, widen)
     if isinstance(stored, T.ArrayType) and isinstance(observed, T.ArrayType):
-        return T.ArrayType(_merge_types(stored.elementType, observed.elementType))
-    return stored
+        return T.ArrayType(_merge_types(stored.elementType, observed.elementType, widen))
+    if not widen or stored == observed:
+        return stored
+    for family in (_NUMBERS, _TIMES):
+        if isinstance(stored, family) and isinstance(observed, family):
+            return max(stored, observed, key=lambda t: family.index(type(t)))
+    return T.StringType()
 
 
 def _nullable(schema: T.StructType) -> T.StructType:

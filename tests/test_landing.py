@@ -159,3 +159,82 @@ def test_merge_keeps_types_and_appends(spark):
     a = T.StructType().add("x", "integer").add("s", T.StructType().add("p", "integer"))
     b = T.StructType().add("n", "string").add("s", T.StructType().add("q", "integer").add("p", "string"))
     assert merge_schemas(a, b).simpleString() == "struct<x:int,s:struct<p:int,q:int>,n:string>"
+
+
+AWKWARD = ("a[1]", "{x,y}", "b*", "q?", "w\\v")
+
+
+@pytest.mark.parametrize("kind", ["csv", "json"])
+def test_names_that_look_like_patterns_and_their_siblings(spark, tmp_path, kind):
+    site = Site(spark, tmp_path, format=kind)
+    names = [*AWKWARD, "a1", "x", "bb", "qq"]
+    for i, name in enumerate(names):
+        site.drop(f"{name}.{kind}", f"id\n{i}\n" if kind == "csv" else json.dumps({"id": i}))
+    assert values(site.run(), "id") == sorted((str(i),) for i in range(len(names)))
+
+
+@pytest.mark.parametrize("kind", ["csv", "json"])
+def test_files_older_than_those_already_read(spark, tmp_path, kind):
+    site = Site(spark, tmp_path, format=kind)
+    text = {"csv": "id\n{}\n", "json": '{{"id": {}}}'}[kind]
+    site.drop(f"new.{kind}", text.format(1))
+    site.run()
+    site.drop(f"old.{kind}", text.format(2))
+    ten_days = os.stat(tmp_path / "in" / f"new.{kind}").st_mtime - 10 * 86400
+    os.utime(tmp_path / "in" / f"old.{kind}", (ten_days, ten_days))
+    assert values(site.run(), "id") == [("1",), ("2",)]
+
+
+def test_header_in_another_case_and_twice_in_one_header(spark, tmp_path):
+    site = Site(spark, tmp_path, format="csv")
+    site.drop("a.csv", "id,name\n1,x\n")
+    site.run()
+    site.drop("b.csv", "ID,Name\n2,y\n")
+    assert values(site.run(), "id", "name") == [("1", "x"), ("2", "y")]
+    site.drop("c.csv", "z,Z,id\np,q,3\n")
+    out = site.run()
+    assert values(out.where("id = '3'"), "z0", "Z1") == [("p", "q")]
+
+
+def test_json_keys_in_another_case(spark, tmp_path):
+    site = Site(spark, tmp_path, format="json", infer_types=True)
+    site.drop("a.json", '{"id": 1, "pay": 1}')
+    site.run()
+    site.drop("b.json", '{"ID": 2, "Pay": 2}')
+    assert values(site.run(), "id", "pay") == [(1, 1), (2, 2)]
+
+
+def test_layouts_of_one_batch_widen_each_other(spark, tmp_path):
+    site = Site(spark, tmp_path, format="csv", infer_types=True)
+    site.drop("a.csv", "id,pay,day\n1,10,2020-01-01\n")
+    site.drop("b.csv", "id,pay,day,x\n2,10.5,2020-01-01 10:00:00,t\n")
+    assert values(site.run(), "id", "pay", "_rescued_data") == [(1, 10.0, None), (2, 10.5, None)]
+
+
+def test_hints_hold_whatever_comes_first(spark, tmp_path):
+    site = Site(spark, tmp_path, format="json", infer_types=True, hints={"pay": "double", "items": "array<struct<q:bigint>>"})
+    site.drop("a.json", '{"id": 1, "pay": 10, "items": []}')
+    out = site.run()
+    assert dict(out.dtypes)["items"] == "array<struct<q:bigint>>"
+    site.drop("b.json", '{"id": 2, "pay": 10.5, "items": [{"q": 7}]}')
+    assert values(site.run(), "id", "pay", "items.q") == [(1, 10.0, []), (2, 10.5, [7])]
+
+
+def test_empty_arrays_have_no_type_yet(spark, tmp_path):
+    site = Site(spark, tmp_path, format="json", infer_types=True)
+    site.drop("a.json", '{"id": 1, "items": []}')
+    site.run()
+    site.drop("b.json", '{"id": 2, "items": [{"q": 7}]}')
+    assert values(site.run(), "id", "items.q") == sorted([(1, None), (2, [7])], key=repr)
+
+
+def test_a_batch_that_fails_leaves_the_schema_alone(spark, tmp_path):
+    site = Site(spark, tmp_path, format="csv", infer_types=True)
+    site.drop("a.csv", "id\n1\n")
+    site.run()
+    before = site.store.load()
+    site.drop("bad.csv", "id,ingestion_ts,_rescued_data\n1,x,y\n")
+    with pytest.raises(Exception):
+        site.run()
+    assert site.store.load() == before
+    (tmp_path / "in" / "bad.csv").unlink()

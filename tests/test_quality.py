@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from strata.functions import cast_columns, explode_items, flatten_struct, misfits, stamp, surrogate_key
@@ -89,3 +90,11 @@ def test_rules_reach_the_scan(spark, tmp_path):
     kept = expect_all_or_drop(spark.read.parquet(str(tmp_path / "p")), {"a": "id IS NOT NULL", "b": "id > 1"})
     plan = kept._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(id), GreaterThan(id,1)]" in plan
+
+
+def test_same_rule_twice_needs_an_order(spark):
+    rules = rules_frame(spark, [("p", "d", "r", "a > 0", ["x"]), ("p", "d", "r", "a > 1", ["x"])])
+    assert get_rules(rules.orderBy(F.desc("ordinal")), "p", "d") == {"r": "a > 1"}
+    with pytest.raises(ValueError):
+        get_rules(rules.drop("ordinal"), "p", "d")
+    assert get_rules(rules.drop("ordinal").limit(1).union(rules.drop("ordinal").limit(1)), "p", "d") == {"r": "a > 0"}

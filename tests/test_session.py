@@ -33,3 +33,26 @@ def test_written_frames_keep_schema_and_rows(spark):
     df = spark.range(5).selectExpr("id", "struct(id AS a) AS s")
     out = session.written(df, "t")
     assert out.schema.simpleString() == df.schema.simpleString() and out.count() == 5
+
+
+def test_settings_from_the_session_may_be_zero(spark):
+    from strata.conf import PipelineConf
+
+    spark.conf.set("max_files_per_trigger", "0")
+    try:
+        assert PipelineConf.from_session(spark, source_path="", table_path="", checkpoint_path="").max_files_per_trigger == 0
+    finally:
+        spark.conf.unset("max_files_per_trigger")
+
+
+def test_a_managed_table_is_not_declared_away(spark):
+    import pytest
+
+    from strata.sources import register_table, replace_table
+
+    spark.sql("DROP TABLE IF EXISTS strata_managed")
+    stored = replace_table(spark.range(3), "strata_managed")
+    with pytest.raises(ValueError):
+        register_table(spark, "strata_managed", stored.schema, "/nowhere")
+    assert spark.read.table("strata_managed").count() == 3
+    spark.sql("DROP TABLE strata_managed")

@@ -20,7 +20,8 @@ from strata.operators import (
 )
 from strata.plans import join_header, sales_facts, sales_summary
 from strata.session import scratch_path
-from strata.sources import preview, register_table, replace_table
+from strata.conf import PipelineConf
+from strata.sources import create_layers, preview, register_table, replace_table, use_schema
 from workload.roles import (
     EVENT_DELETE,
     EVENT_KEYS,
@@ -149,6 +150,26 @@ def rule_rlike(spark: SparkSession, sf_dir: str) -> DataFrame:
     return expect_all_or_drop(people, {"valid_email": f"email RLIKE '{EMAIL_PATTERN}'"})
 
 
+def layers_and_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Layers named by session settings; a table declared in the current one, read by its bare name through a view."""
+    spark.conf.set("bronze_schema", "strata_raw")
+    try:
+        conf = PipelineConf.from_session(spark, source_path="", table_path="", checkpoint_path="")
+    finally:
+        spark.conf.unset("bronze_schema")
+    before, root = spark.catalog.currentDatabase(), scratch_path(spark, "layers")
+    create_layers(spark, {conf.bronze_schema: "rows as they came", conf.silver_schema: "current rows"}, {"env": "test"})
+    use_schema(spark, conf.bronze_schema)
+    try:
+        spark.sql("DROP TABLE IF EXISTS named_orders")
+        orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+        replace_table(orders, "named_orders", root, "all orders")
+        spark.read.table("named_orders").createOrReplaceTempView("orders_view")
+        return spark.sql("SELECT * FROM orders_view")
+    finally:
+        use_schema(spark, before)
+
+
 def rules_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The catalogue as a stored table; the rules of one dataset are looked up and measured on all its rows."""
     stored = replace_table(rules_frame(spark, CATALOGUE), "strata_rules", scratch_path(spark, "rules"), "rules")
@@ -303,6 +324,7 @@ QUERIES = {
     "rule_like": rule_like,
     "rule_rlike": rule_rlike,
     "rules_table": rules_table,
+    "layers_and_names": layers_and_names,
     "rules_by_tag": tagged_rules,
     "scd1_latest": scd1_latest,
     "scd1_delete": scd1_delete,

@@ -52,6 +52,9 @@ class Landed:
 
     def ingest(self) -> DataFrame:
         ingest(self.spark, self.landing, f"{self.root}/bronze", f"{self.root}/checkpoint", self.store)
+        return self.bronze()
+
+    def bronze(self) -> DataFrame:
         return bronze_frame(self.spark, f"{self.root}/bronze", self.store)
 
 
@@ -161,6 +164,54 @@ def _streamed(spark: SparkSession, df: DataFrame, *shuffle_by: str) -> DataFrame
     return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", per_batch).parquet(path)
 
 
+def ingest_backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two drops. The second has files a month older than the first, with names that readers would take for patterns."""
+    landed = Landed(spark, "csv")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    landed.drop_csv(orders.where("o_orderstatus = 'F'"))
+    landed.ingest()
+    landed.drop_csv(orders.where("o_orderstatus <> 'F'"))
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(landed.landing.path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    seen = {r.file_name.rsplit("/", 1)[-1] for r in landed.bronze().select("file_name").distinct().collect()}
+    month = 30 * 86400 * 1000
+    for i, status in enumerate(files.listStatus(folder)):
+        name = status.getPath().getName()
+        if name.startswith("part-") and name not in seen:
+            other = hadoop.Path(folder, f"part [{i}] {{a,b}} {i}.csv")
+            files.rename(status.getPath(), other)
+            files.setTimes(other, status.getModificationTime() - month, -1)
+    return landed.ingest().select("o_orderkey", "o_orderstatus", "o_orderpriority")
+
+
+def schema_evolution_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two layouts in one drop, whole numbers in one and decimals in the other, and a header in another case later."""
+    landed = Landed(spark, "csv", infer_types=True)
+    orders = table(spark, sf_dir, "orders").selectExpr("o_orderkey AS id", "o_totalprice AS price", "o_orderstatus AS status", "o_orderpriority AS name")
+    landed.drop_csv(orders.where("status = 'F'").selectExpr("id", "CAST(FLOOR(price) AS BIGINT) AS price", "name"))
+    landed.drop_csv(orders.where("status = 'O'").select("id", "price", "status", "name"))
+    landed.ingest()
+    landed.drop_csv(orders.where("status = 'P'").selectExpr("id AS ID", "price AS Price", "name AS NAME"))
+    out = landed.ingest()
+    return out.select(F.col("id").cast("bigint").alias("id"), "price", "name", "status", F.col("_rescued_data").alias("rescued"))
+
+
+def silver_misfits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values that a cast can't keep: gone from the silver rows, kept beside them with the reason."""
+    root = scratch_path(spark, "misfits")
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey"), F.when(F.col("o_orderstatus") == "P", F.concat(F.lit("n/a "), "o_orderkey")).otherwise(F.lit("2024-01-31")).alias("due"),
+        day("o_orderdate").alias("day"),
+    )
+    target = KeyedTarget(spark, f"{root}/silver", ChangeSpec(("o_orderkey",), "day", buckets=8))
+    casts = {"due": "date"}
+    cdc_flow(_streamed(spark, orders, "o_orderkey"), target, f"{root}/checkpoint", lambda df: cast_columns(df, casts), None, f"{root}/aside", casts)
+    lost = spark.read.parquet(f"{root}/aside").where("misfit_row IS NOT NULL")
+    kept = lost.select(F.get_json_object("misfit_row", "$.o_orderkey").cast("bigint").alias("o_orderkey"), F.get_json_object("quarantine_reason", "$.due").alias("lost"))
+    return target.read().join(kept, "o_orderkey", "left").select("o_orderkey", F.col("due").isNull().alias("due_is_null"), "lost")
+
+
 def append_only_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events appended to a named table by one stream, which a second stream reads."""
     root = scratch_path(spark, "append")
@@ -280,6 +331,9 @@ QUERIES = {
     "file_lineage": file_lineage,
     "schema_evolution": schema_evolution,
     "rescued_data": rescued_data,
+    "ingest_backlog": ingest_backlog,
+    "schema_evolution_types": schema_evolution_types,
+    "silver_misfits": silver_misfits,
     "append_only_table": append_only_table,
     "stream_join_append": stream_join_append,
     "incremental_scd1": incremental_scd1,

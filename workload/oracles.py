@@ -213,6 +213,17 @@ ORACLES = {
         "SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS o_totalprice, o_orderstatus,"
         " CASE WHEN o_orderstatus = 'P' THEN '{\"o_totalprice\":\"n/a ' || o_orderkey || '\"}' END AS rescued FROM orders"
     ),
+    "ingest_backlog": "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus, o_orderpriority FROM orders",
+    "schema_evolution_types": (
+        "SELECT o_orderkey AS id, CASE WHEN o_orderstatus = 'F' THEN floor(o_totalprice) ELSE o_totalprice END AS price,"
+        " o_orderpriority AS name, CASE WHEN o_orderstatus = 'O' THEN o_orderstatus END AS status,"
+        " CAST(NULL AS VARCHAR) AS rescued FROM orders"
+    ),
+    "silver_misfits": (
+        "SELECT o_orderkey, o_orderstatus = 'P' AS due_is_null,"
+        " CASE WHEN o_orderstatus = 'P' THEN 'n/a ' || o_orderkey END AS lost FROM orders"
+    ),
+    "layers_and_names": "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders",
     "append_only_table": "SELECT * FROM events WHERE event_type = 'purchase'",
     "stream_join_append": (
         f"WITH {_CUSTOMERS}, x AS (SELECT *, CAST(o_orderdate AS DATE) AS d FROM lineitem JOIN orders ON o_orderkey = l_orderkey)"
