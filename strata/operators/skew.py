@@ -1,9 +1,9 @@
 """Split the timeline of keys that hold too many rows for one task.
 
 A window over one key runs in one task, and a range join compares every row of a key with every version of it. Both
-break when one key holds a large share of the data. For such keys only, the time between the key's first and last row
-is cut into equal slices, and (key, slice) takes the place of the key. The slice number is plain arithmetic on the row,
-so nothing but one small row per heavy key has to travel.
+break when one key holds a large share of the data. For such keys only, the key's rows are cut at quantiles of their
+time, and (key, slice) takes the place of the key. Quantiles follow the rows: neither a burst nor a date of 1900 or 9999
+that stands for something else makes a slice larger than others. Only rows of one and the same instant stay together.
 """
 
 from __future__ import annotations
@@ -18,8 +18,12 @@ from strata.session import written
 
 # Rows of one key that a single window task takes without trouble (it spills, but does not straggle).
 ROWS_PER_SLICE = 4_000_000
-# Slices are of equal length, not of equal row count; cutting finer than needed absorbs uneven density.
-OVERSPLIT = 16
+# Quantiles are approximate; cutting finer than needed keeps slices below the bound.
+OVERSPLIT = 4
+# Most slices of one key, as blocks times slices in a block: a row finds its slice by looking at one border per block,
+# then at the borders of its block.
+BLOCK = 64
+MOST_SLICES = BLOCK * BLOCK
 
 KEY, SLICE = "__key", "__slice"
 
@@ -47,51 +51,53 @@ def key_struct(keys: Sequence[str]) -> Column:
 def heavy_keys(
     df: DataFrame, keys: Sequence[str], at: str, rows_per_slice: int
 ) -> DataFrame | None:
-    """One row per key that holds more than ``rows_per_slice`` rows; None when there is no such key.
+    """One row per key that holds more than ``rows_per_slice`` rows, with the borders of its slices; None when there is
+    no such key.
 
-    Reads only the key and time columns and counts before it shuffles. The result has fewer than
-    ``rows / rows_per_slice`` rows.
+    Reads only the key and time columns and counts before it shuffles; the borders are worked out for heavy keys alone.
+    The result has fewer than ``rows / rows_per_slice`` rows.
     """
     place = position(df, at)
     narrow = df.where(F.col(at).isNotNull()).select(
         key_struct(keys).alias(KEY), (place if place is not None else F.lit(0.0)).alias("__at")
     )
-    heavy = (
-        narrow.groupBy(KEY)
-        .agg(
-            F.count(F.lit(1)).alias("__n"),
-            F.min("__at").alias("__lo"),
-            F.max("__at").alias("__hi"),
-        )
-        .where(F.col("__n") > rows_per_slice)
-        .select(
-            KEY,
-            "__lo",
-            (F.col("__hi") - F.col("__lo")).alias("__span"),
-            (F.ceil(F.col("__n") / rows_per_slice) * OVERSPLIT).cast("int").alias("__slices"),
-        )
-    )
+    heavy = narrow.groupBy(KEY).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > rows_per_slice)
+    heavy = written(heavy, "heavy-keys")
     if heavy.isEmpty():
         return None
-    return written(heavy, "heavy-keys")
+    quantiles = [i / MOST_SLICES for i in range(1, MOST_SLICES)]
+    step = F.greatest(F.floor(MOST_SLICES / (F.ceil(F.col("__n") / rows_per_slice) * OVERSPLIT)), F.lit(1))
+    borders = (
+        narrow.join(heavy, KEY)
+        .groupBy(KEY)
+        .agg(F.percentile_approx("__at", quantiles).alias("__all"), F.first("__n").alias("__n"))
+        .withColumn("__step", step)
+        .withColumn("__fine", F.array_distinct(F.expr("filter(__all, (x, i) -> (i + 1) % __step = 0)")))
+    )
+    return written(
+        borders.select(KEY, "__fine", F.expr(f"filter(__fine, (x, i) -> (i + 1) % {BLOCK} = 0)").alias("__coarse")), "heavy-keys"
+    )
 
 
 def slice_of(place: Column) -> Column:
-    """Slice number of a position: 0 for ordinary keys, and clipped to the first or last slice outside the range."""
-    share = (place - F.col("__lo")) / F.col("__span") * F.col("__slices")
-    clipped = F.greatest(F.lit(0.0), F.least(F.floor(share).cast("double"), F.col("__slices") - 1.0))
-    return F.when(F.col("__span") > 0, clipped.cast("int")).otherwise(F.lit(0))
+    """Slice number of a position: how many borders are at or below it. NULL for ordinary keys."""
+    blocks = F.size(F.filter("__coarse", lambda x: x <= place))
+    within = F.size(F.filter(F.slice("__fine", blocks * BLOCK + 1, BLOCK), lambda x: x <= place))
+    return blocks * BLOCK + within
+
+
+BORDERS = ("__fine", "__coarse")
 
 
 def heavy_rows(df: DataFrame, heavy: DataFrame, keys: Sequence[str], at: str) -> DataFrame:
     """The rows of heavy keys, with the key struct and the slice number."""
     place = position(df, at)
-    number = slice_of(place) if place is not None else F.lit(0)
+    number = F.coalesce(slice_of(place), F.lit(0)) if place is not None else F.lit(0)
     return (
         df.withColumn(KEY, key_struct(keys))
         .join(heavy, KEY)
         .withColumn(SLICE, number)
-        .drop("__lo", "__span", "__slices")
+        .drop(*BORDERS)
     )
 
 

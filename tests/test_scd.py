@@ -133,3 +133,15 @@ def test_heavy_key_is_reduced_before_the_shuffle(spark):
     df = spark.range(1000).selectExpr("if(id % 3 = 0, 0, id) AS k", "id AS seq", "id AS a")
     plan = scd1(df, ["k"], "seq")._jdf.queryExecution().executedPlan().toString()
     assert plan.index("WindowGroupLimit") < plan.rindex("WindowGroupLimit")
+
+
+@pytest.mark.parametrize("shape", ["even", "sentinel", "burst"])
+def test_no_slice_is_much_larger_than_asked(spark, shape):
+    from strata.operators.skew import SLICE, heavy_keys, heavy_rows
+
+    when = {"even": "id", "sentinel": "if(id = 0, 253402214400, id)", "burst": "if(id % 10 = 0, id * 100000, id)"}[shape]
+    rows = spark.range(50_000).selectExpr("1 AS k", f"timestamp_seconds({when}) AS at").unionByName(spark.range(5).selectExpr("2 AS k", "timestamp_seconds(id) AS at"))
+    heavy = heavy_keys(rows, ["k"], "at", 1_000)
+    assert [r[0].k for r in heavy.select("__key").collect()] == [1]
+    sizes = [r["count"] for r in heavy_rows(rows, heavy, ["k"], "at").groupBy(SLICE).count().collect()]
+    assert sum(sizes) == 50_000 and max(sizes) <= 4_000 and len(sizes) >= 50
