@@ -7,6 +7,7 @@ is used. Documents of a length are then numbered in Spark, and number and length
 
 from __future__ import annotations
 
+import bisect
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -22,7 +23,9 @@ from strata.llm.vocab import encoder
 
 CAPACITY = 2048
 # Nodes and fillings per node that the search may look at before it settles for the best packing found.
-NODES, FILLINGS = 20_000, 64
+NODES, FILLINGS = 3_000, 32
+# Best fit is tried again where this few lengths are left, and at every so many nodes.
+SMALL, RETRY = 40, 100
 # Pieces of one length that are numbered in one go.
 ROWS_PER_COUNTER = 1_000
 
@@ -88,30 +91,43 @@ def least_sequences(counts: dict[int, int], capacity: int) -> int:
 
 
 def fillings(counts: dict[int, int], capacity: int, limit: int = FILLINGS) -> list[Filling]:
-    """Undominated ways to complete the sequence that holds the longest piece, the fullest first, ``limit`` at most.
+    """Undominated ways to complete the sequence that holds the longest piece, the fullest first.
 
     A filling is dominated if some of its pieces can give way to one left-out piece that is as long or longer and still
-    fits: what was taken out fits wherever that piece went.
+    fits: what was taken out fits wherever that piece went. So one piece that fills the rest exactly rules out all
+    others. Fillings are built from long pieces to short ones; ``limit`` bounds how many are built.
     """
     longest = max(counts)
     rest = Counter(counts)
     rest[longest] -= 1
-    lengths = sorted((x for x, n in rest.items() if n and x <= capacity - longest), reverse=True)
+    space = capacity - longest
+    if rest[space] > 0:
+        return [((longest, 2),) if space == longest else ((longest, 1), (space, 1))]
+    lengths = sorted((x for x, n in rest.items() if n > 0 and x <= space), reverse=True)
     found: list[Filling] = []
+    built = 0
 
     def dominated(chosen: Counter, room: int) -> bool:
         # A left-out piece replaces chosen ones whose sum is at most its length and at least its length minus the room.
         sums = {0}
         for length, n in chosen.items():
             sums = {s + k * length for s in sums for k in range(n + 1)}
-        return any(rest[x] > chosen[x] and any(x - room <= s < x or (s == x and chosen[x] == 0) for s in sums) for x in lengths)
+        sums.discard(0)
+        own = {length for length, n in chosen.items() if n}
+        for s in sums:
+            for x in range(s, s + room + 1):
+                if rest[x] > chosen[x] and not (x == s and x in own):
+                    return True
+        return False
 
     def extend(at: int, room: int, chosen: Counter) -> None:
-        if len(found) >= limit:
+        nonlocal built
+        if built >= limit:
             return
         while at < len(lengths) and lengths[at] > room:
-            at += 1
+            at = bisect.bisect_left(lengths, -room, at, key=lambda x: -x)
         if at == len(lengths):
+            built += 1
             if not dominated(chosen, room):
                 found.append(tuple(sorted((chosen + Counter([longest])).items(), reverse=True)))
             return
@@ -119,7 +135,7 @@ def fillings(counts: dict[int, int], capacity: int, limit: int = FILLINGS) -> li
         for k in range(min(room // length, rest[length]), -1, -1):
             extend(at + 1, room - k * length, chosen + Counter({length: k}))
 
-    extend(0, capacity - longest, Counter())
+    extend(0, space, Counter())
     return sorted(found, key=lambda f: -sum(length * n for length, n in f))
 
 
@@ -128,33 +144,46 @@ def plan(counts: dict[int, int], capacity: int, nodes: int = NODES) -> list[Run]
 
     Best fit is the first incumbent. If it is above the lower bound, a depth-first branch and bound completes sequence
     after sequence around the longest piece left; a branch ends when the room it has wasted rules out fewer sequences
-    than the incumbent. A filling is used as often as the counts allow before the next is looked for, and every node
-    tries best fit on what is left for a better incumbent. The search ends at the lower bound or after ``nodes`` nodes.
+    than the incumbent. A filling is used as often as the counts allow before the next is looked for, and best fit is
+    tried again on what a branch leaves, now and then. The search ends at the lower bound or after ``nodes`` nodes.
     """
     counts = {length: n for length, n in counts.items() if n}
     if not counts:
         return []
     best = best_fit_decreasing(counts, capacity)
     used, bound, total = sum(n for n, _ in best), least_sequences(counts, capacity), sum(length * n for length, n in counts.items())
-    stack: list[tuple[dict[int, int], tuple[Run, ...], int]] = [(counts, (), 0)]
-    while stack and used > bound and nodes:
-        left, runs, taken = stack.pop()
-        nodes -= 1
-        room = sum(n * (capacity - sum(length * k for length, k in f)) for n, f in runs)
-        if -(-(total + room) // capacity) >= used or taken + least_sequences(left, capacity) >= used:
+    # What is left, the last run and those before it, sequences and room used up by them.
+    stack: list[tuple[dict[int, int], tuple | None, int, int]] = [(counts, None, 0, 0)]
+    looked = 0
+
+    def keep(last: tuple | None, more: list[Run]) -> list[Run]:
+        while last is not None:
+            run, last = last
+            more.append(run)
+        return more
+
+    while stack and used > bound and looked < nodes:
+        left, runs, taken, room = stack.pop()
+        looked += 1
+        if -(-(total + room) // capacity) >= used:
             continue
-        rest = best_fit_decreasing(left, capacity)
-        if taken + sum(n for n, _ in rest) < used:
-            best, used = [*runs, *rest], taken + sum(n for n, _ in rest)
+        if len(left) <= SMALL or looked % RETRY == 0:
+            rest = best_fit_decreasing(left, capacity)
+            if taken + sum(n for n, _ in rest) < used:
+                best, used = keep(runs, list(rest)), taken + sum(n for n, _ in rest)
         branches = []
         for filling in fillings(left, capacity):
             times = min(left[length] // k for length, k in filling)
-            after = {**left, **{length: left[length] - times * k for length, k in filling}}
-            after = {length: n for length, n in after.items() if n}
+            wasted = room + times * (capacity - sum(length * k for length, k in filling))
+            after = dict(left)
+            for length, k in filling:
+                after[length] -= times * k
+                if not after[length]:
+                    del after[length]
             if after:
-                branches.append((after, (*runs, (times, filling)), taken + times))
+                branches.append((after, ((times, filling), runs), taken + times, wasted))
             elif taken + times < used:
-                best, used = [*runs, (times, filling)], taken + times
+                best, used = keep(((times, filling), runs), []), taken + times
         stack += reversed(branches)
     return best
 

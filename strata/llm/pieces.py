@@ -23,6 +23,8 @@ from strata.llm.vocab import WordCache
 SPACE = "▁"
 # Remembered answers about pairs of pieces, per Python worker.
 PAIRS = 1 << 18
+# Words in each generation of a cache.
+WORDS = 300_000
 
 
 def _bytewise(error: UnicodeError) -> tuple[str, int]:
@@ -65,8 +67,8 @@ class PieceModel:
         # A word can be encoded by itself if no piece holds a space symbol behind another character.
         self.separable = not any(SPACE in p.lstrip(SPACE) for p in self.ids)
         self.line_ends = not any("\n" in p for p in self.ids)
-        self.head = WordCache(lambda word: self._ids(SPACE + word))
-        self.bare = WordCache(self._ids)
+        self.head = WordCache(lambda word: self._ids(SPACE + word), WORDS)
+        self.bare = WordCache(self._ids, WORDS)
         self.newline = self._ids("\n")
 
     def merge(self, text: str) -> tuple[str, ...]:

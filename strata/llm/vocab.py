@@ -16,7 +16,9 @@ from collections.abc import Callable
 import numpy as np
 
 # Words held by each of the two generations of a cache, and the longest word worth holding.
-CACHED_WORDS, CACHED_LENGTH = 300_000, 64
+CACHED_WORDS, CACHED_LENGTH = 600_000, 64
+# Fixed value: ASCII punctuation but the apostrophe, which may begin a contraction.
+PUNCTUATION = frozenset('!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~')
 
 
 class Irregular(Exception):
@@ -44,6 +46,15 @@ class WordCache(dict):
         return value
 
 
+def stem(word: str) -> int:
+    """Where a word that ends in punctuation behind a letter can be cut; 0 for others. Both kinds of tokenizer end a run
+    of letters there and take all the punctuation as one run."""
+    end = len(word)
+    while end and word[end - 1] in PUNCTUATION:
+        end -= 1
+    return end if 0 < end < len(word) and word[end - 1].isalpha() else 0
+
+
 class Encoder:
     """``encode(text)``: the ids as bytes of ``dtype`` (two bytes where the vocabulary allows it, else four)."""
 
@@ -58,20 +69,27 @@ class Encoder:
         self.special = [a["content"] for a in spec["added_tokens"]]
         self.encode = {"dropped": self._dropped, "kept": self._kept}.get(white_space(spec), self.whole)
         self.words = WordCache(self._word)
-        self.spaced = WordCache(lambda w: self._plain(w, " " + w))
-        self.first = WordCache(lambda w: self._plain(w, w))
+        self.runs = WordCache(self.whole)
+        self.spaced = WordCache(lambda w: self._plain(w, " "))
+        self.first = WordCache(lambda w: self._plain(w, ""))
         self.newline = self.whole("\n")
 
     def whole(self, text: str) -> bytes:
         return np.asarray(self.library.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
     def _word(self, word: str) -> bytes:
-        return self.whole(word) if word else b""
+        if not word:
+            return b""
+        letters = stem(word)
+        return self.words[word[:letters]] + self.words[word[letters:]] if letters else self.whole(word)
 
-    def _plain(self, word: str, text: str) -> bytes:
+    def _plain(self, word: str, space: str) -> bytes:
         if not word or word[0].isspace() or word[-1].isspace():
             raise Irregular
-        return self.whole(text)
+        letters = stem(word)
+        if letters:
+            return (self.spaced if space else self.first)[word[:letters]] + self.first[word[letters:]]
+        return self.whole(space + word)
 
     def _has_special(self, text: str) -> bool:
         return any(s in text for s in self.special)
@@ -97,7 +115,7 @@ class Encoder:
                 out += (self.newline, self.first[head], *map(self.spaced.__getitem__, rest))
             return b"".join(out[1:])
         except Irregular:
-            return b"".join(map(self.words.__getitem__, re.split(r"(?<=\S)(?= \S)", text)))
+            return b"".join(map(self.runs.__getitem__, re.split(r"(?<=\S)(?= \S)", text)))
 
 
 def white_space(spec: dict) -> str:
@@ -111,6 +129,7 @@ def white_space(spec: dict) -> str:
     cuts = cut.get("pretokenizers", [])
     if set(steps) <= {"NFC", "Replace", "Lowercase"} and cuts and cuts[0]["type"] == "Split":
         replaced = [(n["pattern"], n["content"]) for n in normal["normalizers"] if n["type"] == "Replace"]
+        # Letters are one run, digits single, all else but white space one run; apostrophes begin contractions.
         words_only = cuts[0]["invert"] and cuts[0]["behavior"] == "Removed" and cuts[0]["pattern"].get("Regex", "").endswith(r"[^\s\p{L}\p{N}]+")
         levels = [c for c in cuts[1:] if c["type"] != "ByteLevel" or c["use_regex"] or c["add_prefix_space"]]
         if replaced == [({"Regex": r"\s+"}, " ")] and words_only and not levels:
