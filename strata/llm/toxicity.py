@@ -28,8 +28,8 @@ from strata.llm.vocab import WordCache
 #: At most about this many labelled rows are learned from (see `sample`), the size of the hashed n-gram table, and the
 #: length of its vectors. The driver holds SAMPLE * BUCKETS half-precision numbers.
 SAMPLE, BUCKETS, DIM = 8192, 1 << 14, 8
-NGRAMS = (3, 5)
-EPOCHS, BATCHES, RATE, DECAY, SEED = 16, 16, 0.01, 1e-6, 7
+NGRAMS = (3, 6)
+EPOCHS, BATCHES, RATE, DECAY, SEED = 30, 16, 0.01, 3e-4, 7
 THRESHOLD = 0.3
 
 WORD = re.compile(r"[^\W\d_]+")
