@@ -82,7 +82,9 @@ def links(fingerprints: DataFrame, max_bits: int = 4, long_list: int = LONG_LIST
         reduce(Column.bitwiseOR, [F.shiftleft(_byte(fp, p), 8 * i) for i, p in enumerate(s)] + ([F.lit(k << 8 * need)] if k else []))
         for k, s in enumerate(sets)
     ]
-    index = fingerprints.select("fp", F.explode(F.array(*keys)).alias("key"))
+    # Few bytes become many rows here, so the fingerprints are spread over all tasks before.
+    tasks = int(fingerprints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    index = fingerprints.repartition(tasks, "fp").select("fp", F.explode(F.array(*keys)).alias("key"))
     lists = stored(index.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "postings")
 
     listed = stored(index.join(lists.where(F.col("n") <= long_list).select("key"), "key"), "postings-short")
