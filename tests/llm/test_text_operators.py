@@ -362,7 +362,8 @@ def jaccard(a, b):
 
 def test_fingerprints(spark, docs, none):
     rng = random.Random(2)
-    texts = [" ".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(30, 200))) for _ in range(120)]
+    # Neighbours share words, others hardly any: texts over the same few words would share their draws and so their errors.
+    texts = [" ".join(f"w{k * 20 + int(rng.expovariate(1 / 20))}" for _ in range(rng.randint(30, 200))) for k in range(150)]
     more = frame(spark, [*TEXTS, *texts])
     got = fingerprints.fingerprints(more).collect()
     assert len(got) == more.count()
