@@ -130,10 +130,16 @@ class Store:
             return np.frombuffer(f.read(), np.uint8)
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     """Write a frame to the shared folder, well compressed, and read it back: cuts the lineage, and what it holds
     (numbers of rows too) stays the same from then on, whichever executors are lost."""
     spark = df.sparkSession
-    path = scratch_path(spark, label)
+    path = path or scratch_path(spark, label)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a stored frame that nothing will read again."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

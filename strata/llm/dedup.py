@@ -11,12 +11,14 @@ is one that Spark splits where a group is large.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import UID, numbered, positional, stored
+from strata.llm.common import UID, discard, numbered, positional, stored
+from strata.session import scratch_path
 
 WHITE_SPACE = " \t\n\x0b\x0c\r"
 # Bytes of the first slice, and how many times wider each following slice is.
@@ -28,10 +30,10 @@ def normalised(text: Column) -> Column:
     return reduce(lambda c, space: F.replace(c, F.lit(space)), WHITE_SPACE, F.coalesce(text, F.lit("")))
 
 
-def groups_of_equals(rows: DataFrame) -> DataFrame:
+def groups_of_equals(rows: DataFrame, release: Callable[[], None] = lambda: None) -> DataFrame:
     """``__uid, gid`` of the rows whose binary ``content`` equals another's; ``gid`` is the smallest number of a group.
 
-    ``rows`` must give the same numbers whenever it is read.
+    ``rows`` must give the same numbers whenever it is read. ``release`` is called when it is not needed any more.
     """
 
     def part(start: int, width: int) -> Column:
@@ -49,6 +51,7 @@ def groups_of_equals(rows: DataFrame) -> DataFrame:
     # The first round reads one slice of every row; only rows that share theirs travel with their whole text.
     ended, going = split(rows.select(UID, F.lit(0).cast("bigint").alias("gid"), part(start, width)), width)
     shared = stored(rows.select(UID, "content").join(going.select(UID), UID), "radix-rows")
+    release()
     while not going.isEmpty():
         start, width = start + width, width * WIDER
         slices = stored(shared.select(UID, part(start, width)).join(going, UID), "radix-slices")
@@ -57,14 +60,14 @@ def groups_of_equals(rows: DataFrame) -> DataFrame:
     return ended
 
 
-def decisions(rows: DataFrame) -> DataFrame:
+def decisions(rows: DataFrame, release: Callable[[], None] = lambda: None) -> DataFrame:
     """``__uid, doc_id, keep_id, group_size, kept, text_sha256`` for rows ``__uid, doc_id, chars, content``."""
-    own = rows.select(UID, "doc_id", "chars", F.sha2("content", 256).alias("text_sha256"))
-    members = stored(own.join(groups_of_equals(rows), UID, "left").withColumn("gid", F.coalesce("gid", UID)), "radix-members")
-    # Partly aggregated before the shuffle: a group of any size is one row per task there.
+    own = stored(rows.select(UID, "doc_id", "chars", F.sha2("content", 256).alias("text_sha256")), "radix-own")
+    groups = groups_of_equals(rows, release)
+    members = stored(own.join(groups, UID, "left").withColumn("gid", F.coalesce("gid", UID)), "radix-members")
+    # Partly aggregated where the rows lie: a group of any size is one row per task in the shuffle.
     order = F.struct((-F.col("chars")).alias("chars"), F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), F.col(UID).alias("uid"))
-    groups = members.where(F.col("gid") != F.col(UID)).select("gid").distinct()
-    best = members.join(groups, "gid", "left_semi").groupBy("gid").agg(F.min(order).alias("best"), F.count(F.lit(1)).alias("size"))
+    best = members.groupBy("gid").agg(F.min(order).alias("best"), F.count(F.lit(1)).alias("size")).where("size > 1")
     best = stored(best.select("gid", "size", F.col("best.doc_id").alias("keep"), F.col("best.uid").alias("keep_uid")), "radix-best")
     alone = F.col("size").isNull()
     return members.join(best, "gid", "left").select(
@@ -89,8 +92,10 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     Of equal texts the row with the most characters stays, then the smallest id (NULL last), then the row read first;
     so of repeated rows one stays. Other columns are not looked at. An empty table gives an empty result.
     """
-    rows = stored(_rows(numbered(docs.select(id_col, text_col)), id_col, text_col), "radix-input")
-    return decisions(rows).drop(UID)
+    spark = docs.sparkSession
+    path = scratch_path(spark, "radix-input")
+    rows = stored(_rows(numbered(docs.select(id_col, text_col)), id_col, text_col), "radix-input", path)
+    return decisions(rows, lambda: discard(spark, path)).drop(UID)
 
 
 def without_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
