@@ -150,17 +150,22 @@ def train(
         for batch in batches:
             found = [weights(t or "", buckets) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([i.tobytes() for i, _ in found]), pa.array([w.tobytes() for _, w in found])],
+                [
+                    batch.column(0), batch.column(1), pa.array([i.astype(np.int32).tobytes() for i, _ in found], pa.binary()),
+                    pa.array([(w * FEATURE_UNIT).astype(np.float16).tobytes() for _, w in found], pa.binary()),
+                ],
                 ["id", "label", "buckets", "shares"],
             )
 
     # `chosen` has at most 2 * size rows of two numbers, so it may be broadcast.
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id").select("id", "label", "text")
-    rows = stored(arrow_map(picked, run, "id bigint, label int, buckets binary, shares binary"), "features").dropDuplicates(["id"]).orderBy("id").collect()
-    features = np.zeros((len(rows), buckets), np.float16)
-    for row, r in zip(features, rows, strict=True):
-        row[np.frombuffer(r["buckets"], np.int32)] = np.frombuffer(r["shares"], np.float32) * FEATURE_UNIT
-    model = fit(features, np.array([r["label"] for r in rows], np.int64))
+    rows = stored(arrow_map(picked, run, "id bigint, label int, buckets binary, shares binary"), "features").dropDuplicates(["id"])
+    # One partition at a time, so that the driver holds little beside the features.
+    features, found = np.zeros((2 * size, buckets), np.float16), []
+    for row in rows.orderBy("id").toLocalIterator():
+        features[len(found), np.frombuffer(row.buckets, np.int32)] = np.frombuffer(row.shares, np.float16)
+        found.append(row.label)
+    model = fit(features[: len(found)], np.array(found, np.int64))
     model.toward *= FEATURE_UNIT
     return model
 
