@@ -37,9 +37,12 @@ WORD = re.compile(r"[^\W\d_]+")
 
 def subwords(word: str, buckets: int = BUCKETS) -> list[int]:
     """Buckets of a word's n-grams, its borders included."""
-    marked = f"<{word}>"
-    grams = [marked[i : i + n] for n in range(NGRAMS[0], NGRAMS[1] + 1) for i in range(len(marked) - n + 1)]
-    return [zlib.crc32(g.encode()) % buckets for g in grams]
+    marked, crc32 = f"<{word}>", zlib.crc32
+    spans = [(i, i + n) for n in range(NGRAMS[0], NGRAMS[1] + 1) for i in range(len(marked) - n + 1)]
+    if marked.isascii():
+        plain = marked.encode()
+        return [crc32(plain[a:b]) % buckets for a, b in spans]
+    return [crc32(marked[a:b].encode()) % buckets for a, b in spans]
 
 
 def words(text: str) -> list[str]:
@@ -75,11 +78,17 @@ class Model:
         """The function from texts to scores. Words are scored once per task."""
         toward, offset, n = self.toward, float(self.offsets[1] - self.offsets[0]), len(self.toward)
 
+        pull = toward.tolist()
+
+        def of_word(word: str) -> float:
+            grams = subwords(word, n)
+            return sum(map(pull.__getitem__, grams)) / len(grams)
+
         def of_token(token: str) -> complex:
             found = words(token)
-            return complex(sum(float(toward[subwords(w, n)].mean()) for w in found), len(found))
+            return complex(sum(map(by_word.__getitem__, found)), len(found))
 
-        tokens = WordCache(of_token)
+        by_word, tokens = WordCache(of_word), WordCache(of_token)
 
         def score(text: str) -> float:
             # Sum of word scores and number of words, carried together.
