@@ -22,10 +22,13 @@ from strata.llm.common import UID, arrow_map, numbered, stored, with_text
 from strata.llm.vocab import encoder
 
 CAPACITY = 2048
-# Nodes and fillings per node that the search may look at before it settles for the best packing found.
-NODES, FILLINGS = 3_000, 32
+# The search settles for the best packing found after so many nodes, or so many per distinct length where that is more (a
+# descent takes about one per length); a node has at most so many branches.
+NODES, DESCENTS, FILLINGS = 20_000, 20, 64
 # Best fit is tried again where this few lengths are left, and at every so many nodes.
 SMALL, RETRY = 40, 100
+# Nodes, and fillings built per node, of the second pass.
+LONG_FIRST = 3_000, 32
 # Pieces of one length that are numbered in one go.
 ROWS_PER_COUNTER = 1_000
 
@@ -90,8 +93,8 @@ def least_sequences(counts: dict[int, int], capacity: int) -> int:
     return best
 
 
-def fillings(counts: dict[int, int], capacity: int, limit: int = FILLINGS) -> list[Filling]:
-    """Undominated ways to complete the sequence that holds the longest piece, the fullest first.
+def long_first(counts: dict[int, int], capacity: int, limit: int) -> list[Filling]:
+    """Undominated ways to complete the sequence that holds the longest piece: of those built first the fullest first.
 
     A filling is dominated if some of its pieces can give way to one left-out piece that is as long or longer and still
     fits: what was taken out fits wherever that piece went. So one piece that fills the rest exactly rules out all
@@ -139,52 +142,155 @@ def fillings(counts: dict[int, int], capacity: int, limit: int = FILLINGS) -> li
     return sorted(found, key=lambda f: -sum(length * n for length, n in f))
 
 
-def plan(counts: dict[int, int], capacity: int, nodes: int = NODES) -> list[Run]:
+class Left:
+    """The pieces not yet packed: a count per length, short lengths first, and the sums that the shorter ones can make."""
+
+    def __init__(self, counts: dict[int, int], capacity: int) -> None:
+        self.capacity, self.lengths = capacity, sorted(counts)
+        self.numbers = [counts[x] for x in self.lengths]
+        # Bit s of sums[i] is set if pieces of the i shortest lengths add up to s. Right up to sums[valid].
+        self.sums, self.valid = [1] * (len(counts) + 1), 0
+
+    def take(self, filling: Filling, times: int) -> None:
+        for length, k in filling:
+            i = bisect.bisect_left(self.lengths, length)
+            self.numbers[i] -= times * k
+            self.valid = min(self.valid, i)
+
+    def counts(self) -> dict[int, int]:
+        return {length: n for length, n in zip(self.lengths, self.numbers, strict=True) if n}
+
+    def table(self, to: int) -> None:
+        mask = (2 << self.capacity) - 1
+        for i in range(self.valid, to):
+            length, sums = self.lengths[i], self.sums[i]
+            left, step = min(self.numbers[i], self.capacity // length), 1
+            while left:
+                step = min(step, left)
+                sums = (sums | sums << step * length) & mask
+                left -= step
+                step *= 2
+            self.sums[i + 1] = sums
+        self.valid = max(self.valid, to)
+
+    def ways(self, i: int, total: int) -> Iterator[Filling]:
+        """The sets of pieces of the ``i`` shortest lengths that add up to ``total``, long pieces first. No dead ends."""
+        if not total:
+            yield ()
+            return
+        i = min(i, bisect.bisect_right(self.lengths, total))
+        while i and self.sums[i] >> total & 1:
+            i -= 1
+            length = self.lengths[i]
+            for k in range(min(total // length, self.numbers[i]), 0, -1):
+                if self.sums[i] >> total - k * length & 1:
+                    for rest in self.ways(i, total - k * length):
+                        yield ((length, k), *rest)
+                        self.table(i)  # the search has taken pieces and put them back since
+
+    def dominated(self, chosen: Filling, longest: int, room: int) -> bool:
+        """A left-out piece replaces chosen ones whose sum is at most its length and at least its length minus the room."""
+        own, sums = dict(chosen), {0}
+        for length, n in chosen:
+            sums = {s + k * length for s in sums for k in range(n + 1)}
+        for s in sums - {0}:
+            first = bisect.bisect_left(self.lengths, s)
+            for i in range(first, bisect.bisect_right(self.lengths, s + room, first)):
+                x = self.lengths[i]
+                if self.numbers[i] - (x == longest) > own.get(x, 0) and not (x == s and x in own):
+                    return True
+        return False
+
+    def fillings(self, top: int, limit: int) -> Iterator[Filling | None]:
+        """Undominated ways to complete the sequence that holds a piece of the longest length left, ``lengths[top]``, the
+        fullest first, among equally full ones long pieces first; ``limit`` at most. None stands for a dominated one.
+
+        A filling is dominated if some of its pieces can give way to one left-out piece that is as long or longer and
+        still fits: what was taken out fits wherever that piece went. So one piece that fills the rest exactly rules out
+        all others.
+        """
+        longest = self.lengths[top]
+        space, more = self.capacity - longest, self.numbers[top] - 1
+        exact = bisect.bisect_left(self.lengths, space, 0, top + 1)
+        if space and exact <= top and self.lengths[exact] == space and self.numbers[exact] > (exact == top):
+            yield ((longest, 2),) if exact == top else ((longest, 1), (space, 1))
+            return
+        to = bisect.bisect_right(self.lengths, space, 0, top)
+        for total in range(space, -1, -1):
+            for same in range(min(total // longest, more), -1, -1):
+                self.table(to)
+                rest = total - same * longest
+                if not self.sums[to] >> rest & 1:
+                    continue
+                for way in self.ways(to, rest):
+                    chosen = ((longest, same), *way) if same else way
+                    if self.dominated(chosen, longest, space - total):
+                        yield None
+                        continue
+                    yield ((longest, 1 + same), *way)
+                    limit -= 1
+                    if not limit:
+                        return
+                    self.table(to)
+
+
+def plan(counts: dict[int, int], capacity: int, nodes: int | None = None) -> list[Run]:
     """Runs that pack ``counts`` pieces of each length, in as few sequences as the search finds.
 
     Best fit is the first incumbent. If it is above the lower bound, a depth-first branch and bound completes sequence
-    after sequence around the longest piece left; a branch ends when the room it has wasted rules out fewer sequences
-    than the incumbent. A filling is used as often as the counts allow before the next is looked for, and best fit is
-    tried again on what a branch leaves, now and then. The search ends at the lower bound or after ``nodes`` nodes.
+    after sequence around the longest piece left, the fullest first, so its first descent is a second incumbent; a branch
+    ends when the room it has wasted rules out fewer sequences than the incumbent. A filling is used as often as the
+    counts allow before the next is looked for, and best fit is tried again on what a branch leaves, now and then. The
+    search ends at the lower bound or after ``nodes`` nodes. Then a second pass takes fillings of long pieces first, however
+    full, as either order finds packings that the other does not.
     """
     counts = {length: n for length, n in counts.items() if n}
     if not counts:
         return []
+    nodes = max(NODES, DESCENTS * len(counts)) if nodes is None else nodes
     best = best_fit_decreasing(counts, capacity)
     used, bound, total = sum(n for n, _ in best), least_sequences(counts, capacity), sum(length * n for length, n in counts.items())
-    # What is left, the last run and those before it, sequences and room used up by them.
-    stack: list[tuple[dict[int, int], tuple | None, int, int]] = [(counts, None, 0, 0)]
-    looked = 0
-
-    def keep(last: tuple | None, more: list[Run]) -> list[Run]:
-        while last is not None:
-            run, last = last
-            more.append(run)
-        return more
-
-    while stack and used > bound and looked < nodes:
-        left, runs, taken, room = stack.pop()
-        looked += 1
-        if -(-(total + room) // capacity) >= used:
-            continue
-        if len(left) <= SMALL or looked % RETRY == 0:
-            rest = best_fit_decreasing(left, capacity)
-            if taken + sum(n for n, _ in rest) < used:
-                best, used = keep(runs, list(rest)), taken + sum(n for n, _ in rest)
-        branches = []
-        for filling in fillings(left, capacity):
-            times = min(left[length] // k for length, k in filling)
+    left = Left(counts, capacity)
+    limit, built = LONG_FIRST
+    passes = [
+        (nodes, lambda top: left.fillings(top, FILLINGS)),
+        (min(limit, nodes), lambda top: iter(long_first(left.counts(), capacity, built))),
+    ]
+    for most, fillings in passes:
+        path: list[Run] = []
+        looked, top = 0, len(counts) - 1
+        # Longest length left, fillings to come, sequences and room used up, per run of the path and one for its end.
+        open_nodes = [(top, fillings(top), 0, 0)]
+        while open_nodes and used > bound and looked < most:
+            top, branches, taken, room = open_nodes[-1]
+            filling = next(branches, ()) if -(-(total + room) // capacity) < used else ()
+            if filling == ():
+                open_nodes.pop()
+                if path:
+                    times, filling = path.pop()
+                    left.take(filling, -times)
+                continue
+            looked += 1
+            if filling is None:
+                continue
+            times = min(left.numbers[bisect.bisect_left(left.lengths, length)] // k for length, k in filling)
             wasted = room + times * (capacity - sum(length * k for length, k in filling))
-            after = dict(left)
-            for length, k in filling:
-                after[length] -= times * k
-                if not after[length]:
-                    del after[length]
-            if after:
-                branches.append((after, ((times, filling), runs), taken + times, wasted))
-            elif taken + times < used:
-                best, used = keep(((times, filling), runs), []), taken + times
-        stack += reversed(branches)
+            if -(-(total + wasted) // capacity) >= used:
+                continue
+            left.take(filling, times)
+            path.append((times, filling))
+            taken += times
+            while top >= 0 and not left.numbers[top]:
+                top -= 1
+            if top < 0:
+                best, used = list(path), taken
+            elif looked % RETRY == 0 or sum(map(bool, left.numbers)) <= SMALL:
+                rest = best_fit_decreasing(left.counts(), capacity)
+                if taken + sum(n for n, _ in rest) < used:
+                    best, used = [*path, *rest], taken + sum(n for n, _ in rest)
+            open_nodes.append((top, fillings(top) if top >= 0 else iter(()), taken, wasted))
+        for times, filling in path:
+            left.take(filling, -times)
     return best
 
 

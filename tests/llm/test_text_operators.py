@@ -453,3 +453,17 @@ def test_search_beats_best_fit():
     for c in improved:
         best_fit = sum(n for n, _ in packing.best_fit_decreasing(c, 15))
         assert sum(n for n, _ in packing.plan(c, 15)) <= best_fit
+
+
+def test_fullest_fillings_first():
+    """Many middling lengths and no short ones: long pieces first never comes to the fillings without waste."""
+    rng = random.Random(7)
+    counts = collections.Counter(rng.randint(200, 1000) for _ in range(400))
+    runs = packing.plan(dict(counts), 2048)
+    used = collections.Counter()
+    for n, filling in runs:
+        assert sum(length * k for length, k in filling) <= 2048
+        for length, k in filling:
+            used[length] += n * k
+    assert used == counts
+    assert sum(n for n, _ in runs) == packing.least_sequences(dict(counts), 2048)
