@@ -64,17 +64,19 @@ GOOD_WORDS = frozenset("article post entry content main story text body".split()
 
 
 class Node:
-    __slots__ = ("container", "depth", "noise", "parent", "path", "score", "tag")
+    __slots__ = ("container", "depth", "good", "noise", "own", "parent", "path", "score", "soft", "tag")
 
     def __init__(self, tag: str, parent: Node | None, path: str, noise: bool) -> None:
         self.tag, self.parent, self.path, self.noise, self.score = tag, parent, path, noise, 0.0
+        # Noise by words or as a form alone, and noise of its own that holds whatever is inside.
+        self.soft = self.own = self.good = False
         self.depth = parent.depth + 1 if parent is not None else 0
         self.container = tag in CONTAINERS and self.depth <= DEPTH
 
 
 def _open(tag: str, attributes: str, parent: Node) -> Node:
     words: list[str] = []
-    noise = tag in NOISE_TAGS
+    noise, soft = tag in NOISE_TAGS and tag != "form", tag == "form"
     name = tag
     if attributes and not attributes.isspace():
         for kind, value in ATTRIBUTE.findall(attributes):
@@ -90,15 +92,53 @@ def _open(tag: str, attributes: str, parent: Node) -> Node:
             elif kind == "hidden" or (kind == "aria-hidden" and value == "true") or (kind == "style" and re.search(r"display\s*:\s*none", value)):
                 noise = True
         if tag not in ("html", "body", "article", "main") or "comment" in words or "comments" in words:
-            noise |= not NOISE_WORDS.isdisjoint(words)
+            soft |= not NOISE_WORDS.isdisjoint(words)
     # Pages may leave out html and body, so paths begin behind them.
     path = parent.path if tag in ("html", "body") or parent.depth >= DEPTH else f"{parent.path}/{name}"
-    node = Node(tag, parent, path, noise or parent.noise)
+    node = Node(tag, parent, path, noise or soft or parent.noise)
+    node.soft, node.own, node.good = soft and not noise, noise, not GOOD_WORDS.isdisjoint(words)
     if node.container:
         node.score = (30.0 if tag in ("article", "main") else 0.0) + (10.0 if not GOOD_WORDS.isdisjoint(words) else 0.0)
     return node
 
 
+def _acquit(nodes: list[Node], texts: list[tuple[Node, str | None]]) -> None:
+    """Takes the noise off elements that are noise by a word or as a form alone but hold an article, main or most of the
+    page's text outside links; if no text is left then, off all of them. Most is half with a good word or as a form, else
+    four fifths, as comments can be longer than the article; and a page with an article or main of its own needs neither."""
+    if not any(n.soft for n in nodes):
+        return
+    # Text outside links and outside noise that holds in any case, in elements and what is below them.
+    size: dict[int, int] = {}
+    dead: dict[int, bool] = {}
+    for node in nodes:
+        dead[id(node)] = node.own or node.tag == "a" or (node.parent is not None and dead[id(node.parent)])
+        size[id(node)] = 0
+    for node, text in texts:
+        if text is not None and not dead[id(node)]:
+            size[id(node)] += len("".join(text.split()))
+    holds: set[int] = set()
+    for node in reversed(nodes):
+        if node.parent is not None:
+            size[id(node.parent)] += size[id(node)]
+            if not node.own and (id(node) in holds or (node.tag in ("article", "main") and not node.soft and size[id(node)])):
+                holds.add(id(node.parent))
+    total = size[id(nodes[0])]
+    sure = any(n.tag in ("article", "main") and not n.soft and not dead[id(n)] and size[id(n)] for n in nodes)
+
+    def most(node: Node) -> bool:
+        return not sure and size[id(node)] * (2 if node.good or node.tag == "form" else 1.25) > total
+
+    def settle(spare: bool) -> None:
+        for node in nodes:
+            soft = node.soft and not (spare or id(node) in holds or most(node))
+            node.noise = node.own or soft or (node.parent is not None and node.parent.noise)
+
+    settle(False)
+    if total and all(n.noise or t is None or n.tag == "a" or not t.strip() for n, t in texts):
+        settle(True)
+
+
 def parse(page: str) -> tuple[list[Node], list[tuple[Node, str | None]]]:
     """The elements of a page, and its text by element in page order. A None is the border of a block."""
     root = Node("", None, "", False)
@@ -154,6 +194,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str | None]]]:
             opened[tag] += 1
     if at < len(page):
         texts.append((stack[-1], page[at:]))
+    _acquit(nodes, texts)
     return nodes, texts
 
 

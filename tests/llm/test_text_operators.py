@@ -300,6 +300,15 @@ def test_extraction(spark):
     assert extraction.extract(table.limit(0)).collect() == []
 
 
+def test_noise_words_do_not_lose_the_page():
+    text = "A good long sentence, with commas. " * 10
+    want = " ".join(text.split())
+    for start in ('<div class="content has-sidebar">', '<div class="post no-comments">', '<div id="widget-main">', "<form>", '<div class="page-widget"><article>'):
+        page = f"<body><nav><a href=1>Menu</a></nav>{start}<p>{text}</p><div class=sidebar>Side text</div>"
+        path = extraction.best_container(page)
+        assert path is not None and extraction.main_text(page, [path]) == want
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(st.sampled_from("<>/\"'= abpdivnarticle!-&;\n"), max_size=60))
 def test_extraction_of_any_text_ends(text):
