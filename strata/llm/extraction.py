@@ -236,7 +236,34 @@ def best_container(page: str) -> str | None:
     found = [n for n in nodes if n.container and not n.noise and n.score > 0]
     if not found:
         return None
-    return max(found, key=lambda n: n.score).path
+    return _widened(max(found, key=lambda n: n.score), texts).path
+
+
+def _widened(best: Node, texts: list[tuple[Node, str | None]]) -> Node:
+    """The article or main around a container; without one, the elements around it as long as they have good words or it
+    is a section, and what text they add is at most a fifth links."""
+    if best.tag in ("article", "main"):
+        return best
+    outer = best.parent
+    while outer is not None:
+        if outer.tag in ("article", "main") and outer.container and not outer.noise:
+            return outer
+        outer = outer.parent
+    while (outer := best.parent) is not None and outer.container and not outer.noise and outer.tag != "body" and (outer.good or best.tag == "section"):
+        plain = links = 0
+        for node, text in texts:
+            if text is None or node.noise or not text.strip():
+                continue
+            link = False
+            while node is not None and node is not best and node is not outer:
+                link |= node.tag == "a"
+                node = node.parent
+            if node is outer:
+                plain, links = plain + len(text) * (not link), links + len(text) * link
+        if not plain or links * 4 > plain:
+            break
+        best = outer
+    return best
 
 
 def main_text(page: str, paths: list[str]) -> str:

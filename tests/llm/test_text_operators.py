@@ -309,6 +309,17 @@ def test_noise_words_do_not_lose_the_page():
         assert path is not None and extraction.main_text(page, [path]) == want
 
 
+def test_parts_of_an_article_are_widened_to_it():
+    text = "A good long sentence, with commas. " * 10
+    long = " ".join(text.split())
+    for page in (
+        f'<article><h1>Title</h1><p>lead</p><div class="body"><p>{text}</div></article>',
+        f'<div class="post"><section class="a"><h1>Title</h1><p>lead</section><section class="b"><p>{text}</section></div>',
+    ):
+        page = f"<body><nav>Menu</nav>{page}<footer>f</footer>"
+        assert extraction.main_text(page, [extraction.best_container(page)]) == f"Title\n\nlead\n\n{long}"
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(st.sampled_from("<>/\"'= abpdivnarticle!-&;\n"), max_size=60))
 def test_extraction_of_any_text_ends(text):
