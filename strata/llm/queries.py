@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import dedup, extraction, fingerprints, packing, pieces, simhash, token_counts, token_files, toxicity, warc
+from strata.llm import (
+    conversations, dedup, extraction, fingerprints, minhash, packing, pieces, simhash, token_counts, token_files, toxicity, warc, whitening,
+)
 from strata.llm.common import table
 from strata.session import scratch_path
 
@@ -56,6 +58,18 @@ def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_conversations(table(spark, sf_dir, "conversations"))
+
+
+def minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_revisit_resolution": revisit_resolution,
     "op2_simhash_near_dedup": simhash_near_dedup,
@@ -67,6 +81,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_piece_round_trip": piece_round_trip,
     "op9_exact_dedup": exact_dedup,
     "op10_best_fit_packing": best_fit_packing,
+    "op11_embedding_whitening": embedding_whitening,
+    "op12_conversation_repair": conversation_repair,
+    "op13_minhash_near_dedup": minhash_near_dedup,
 }
 
 ORACLES: dict[str, str] = {
