@@ -26,7 +26,7 @@ from strata.llm.common import append_columns, arrow_map, positional, stored
 from strata.llm.vocab import WordCache
 
 #: At most about this many labelled rows are learned from (see `sample`), the size of the hashed n-gram table, and the
-#: length of its vectors. The driver holds SAMPLE * BUCKETS half-precision numbers.
+#: length of its vectors. The driver holds the buckets that the texts of the sample have, and as many shares.
 SAMPLE, BUCKETS, DIM = 8192, 1 << 14, 8
 NGRAMS = (3, 6)
 EPOCHS, BATCHES, RATE, DECAY, SEED = 30, 16, 0.01, 3e-4, 7
@@ -99,19 +99,54 @@ class Model:
         return score
 
 
-def fit(features: np.ndarray, labels: np.ndarray, dim: int = DIM, epochs: int = EPOCHS, seed: int = SEED) -> Model:
+@dataclass
+class Features:
+    """Rows of n-gram shares, one after the other: row k has the entries from ``starts[k]`` to ``starts[k + 1]``."""
+
+    starts: np.ndarray
+    places: np.ndarray
+    shares: np.ndarray
+    buckets: int
+
+    def __len__(self) -> int:
+        return len(self.starts) - 1
+
+    @classmethod
+    def of(cls, rows: Iterator[tuple[np.ndarray, np.ndarray]], buckets: int) -> Features:
+        places, shares, starts = bytearray(), bytearray(), [0]
+        small = np.uint16 if buckets <= 1 << 16 else np.int32
+        for found, weight in rows:
+            places += found.astype(small).tobytes()
+            shares += weight.astype(np.float16).tobytes()
+            starts.append(starts[-1] + len(found))
+        return cls(np.asarray(starts), np.frombuffer(places, small), np.frombuffer(shares, np.float16), buckets)
+
+    def squares(self) -> np.ndarray:
+        """Sums of squares per bucket."""
+        out = np.zeros(self.buckets)
+        for i in range(0, len(self.places), 1 << 18):
+            out += np.bincount(self.places[i : i + (1 << 18)], self.shares[i : i + (1 << 18)].astype(np.float64) ** 2, self.buckets)
+        return out
+
+    def dense(self, chosen: np.ndarray, scale: np.ndarray) -> np.ndarray:
+        """Some rows in full, scaled."""
+        out = np.zeros((len(chosen), self.buckets), np.float32)
+        for row, k in zip(out, chosen.tolist(), strict=True):
+            entries = slice(self.starts[k], self.starts[k + 1])
+            row[self.places[entries]] = self.shares[entries] * scale[self.places[entries]]
+        return out
+
+
+def fit(features: Features, labels: np.ndarray, dim: int = DIM, epochs: int = EPOCHS, seed: int = SEED) -> Model:
     """Learn embeddings and softmax together by Adam. Columns are scaled by their size while learning.
 
     Without rows of both labels every text gets the share of label 1 (0 without any row).
     """
-    n, buckets = features.shape
+    n, buckets = len(features), features.buckets
     share = float(labels.mean()) if n else 0.0
     if share in (0.0, 1.0):
         return Model(np.zeros((buckets, dim)), np.zeros((dim, 2)), np.array([0.0, 50.0 if share else -50.0]))
-    square = np.zeros(buckets)
-    for part in np.array_split(features, -(-n // 512)):
-        square += (part.astype(np.float32) ** 2).sum(axis=0)
-    scale = (0.1 / (np.sqrt(square / n) + 1e-5)).astype(np.float32)
+    scale = (0.1 / (np.sqrt(features.squares() / n) + 1e-5)).astype(np.float32)
     rng = np.random.default_rng(seed)
     parts = [rng.normal(0, 0.01, (buckets, dim)).astype(np.float32), rng.normal(0, 0.5, (dim, 2)).astype(np.float32), np.zeros(2, np.float32)]
     mean, spread = [np.zeros_like(p) for p in parts], [np.zeros_like(p) for p in parts]
@@ -120,7 +155,7 @@ def fit(features: np.ndarray, labels: np.ndarray, dim: int = DIM, epochs: int =
         for chosen in np.array_split(rng.permutation(n), min(n, BATCHES)):
             step += 1
             embeddings, softmax, offsets = parts
-            rows = features[chosen].astype(np.float32) * scale
+            rows = features.dense(chosen, scale)
             average = rows @ embeddings
             logits = average @ softmax + offsets
             p = np.exp(logits - logits.max(axis=1, keepdims=True))
@@ -152,7 +187,8 @@ def sample(labels: DataFrame, id_col: str, label_col: str, size: int) -> DataFra
 def train(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", size: int = SAMPLE, buckets: int = BUCKETS
 ) -> Model:
-    """The model of a bounded sample of labelled rows outside fold 2, of which it sees whole texts and labels alone."""
+    """The model of a bounded sample of labelled rows outside fold 2, of which it sees whole texts and labels alone. Of rows
+    with one id and different texts one is learned from, always the same."""
     chosen = sample(labels, id_col, label_col, size)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,13 +204,19 @@ def train(
 
     # `chosen` has at most 2 * size rows of two numbers, so it may be broadcast.
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id").select("id", "label", "text")
-    rows = stored(arrow_map(picked, run, "id bigint, label int, buckets binary, shares binary"), "features").dropDuplicates(["id"])
-    # One partition at a time, so that the driver holds little beside the features.
-    features, found = np.zeros((2 * size, buckets), np.float16), []
-    for row in rows.orderBy("id").toLocalIterator():
-        features[len(found), np.frombuffer(row.buckets, np.int32)] = np.frombuffer(row.shares, np.float16)
-        found.append(row.label)
-    model = fit(features[: len(found)], np.array(found, np.int64))
+    rows = stored(arrow_map(picked, run, "id bigint, label int, buckets binary, shares binary"), "features")
+    # Of rows with one id the same one always stays.
+    rows = rows.groupBy("id").agg(F.min(F.struct("buckets", "shares", "label")).alias("row")).select("id", "row.*")
+    found: list[int] = []
+
+    def read() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        # One partition at a time, so that the driver holds little beside the features.
+        for row in rows.orderBy("id").toLocalIterator():
+            found.append(row.label)
+            yield np.frombuffer(row.buckets, np.int32), np.frombuffer(row.shares, np.float16)
+
+    features = Features.of(read(), buckets)
+    model = fit(features, np.array(found, np.int64))
     model.toward *= FEATURE_UNIT
     return model
 
