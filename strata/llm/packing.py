@@ -301,11 +301,11 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, id_col:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(tokenizer)
+        end = np.asarray([end_id], coder.dtype).tobytes()
         for batch in batches:
             out: list[list] = [[] for _ in names]
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = np.frombuffer(coder.encode(text), coder.dtype).astype("<u4")
-                ids = np.append(ids, np.uint32(end_id)).astype("<u4")
+                ids = np.frombuffer(coder.encode(text) + end, coder.dtype).astype("<u4")
                 for k, start in enumerate(range(0, len(ids), capacity)):
                     piece = ids[start : start + capacity]
                     for column, value in zip(out, (doc, k, start, len(piece), zlib.crc32(piece)), strict=True):

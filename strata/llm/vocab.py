@@ -11,6 +11,7 @@ import functools
 import hashlib
 import json
 import re
+from array import array
 from collections.abc import Callable
 
 import numpy as np
@@ -21,6 +22,23 @@ CACHED_WORDS, CACHED_LENGTH = 600_000, 64
 PUNCTUATION = frozenset('!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~')
 
 
+# Letters below this one are one character in either case, and composed as they stand.
+BEYOND = "\u0130"
+
+
+def byte_letters() -> dict[int, str]:
+    """The character that stands for each byte in byte-level vocabularies: printable ones (of Latin-1) for themselves, the
+    others, in their order, for the characters from 256 on."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in printable]
+    return {b: chr(b) if b in printable else chr(256 + hidden.index(b)) for b in range(256)}
+
+
+def plain_letters(word: str) -> bool:
+    """Is the word one run of letters to either kind of tokenizer, and only its case changes when it is normalised?"""
+    return word.isalpha() and max(word) < BEYOND
+
+
 class Irregular(Exception):
     """The text can't be cut at every space."""
 
@@ -73,19 +91,30 @@ class Encoder:
         self.spaced = WordCache(lambda w: self._plain(w, " "))
         self.first = WordCache(lambda w: self._plain(w, ""))
         self.newline = self.whole("\n")
+        self.letters, self.code = byte_letters(), "H" if self.dtype.itemsize == 2 else "I"
 
     def whole(self, text: str) -> bytes:
         return np.asarray(self.library.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
+    def run_of_letters(self, word: str) -> bytes:
+        """What `whole` gives for a word that is one run to the library, at half the price."""
+        spelled = word.encode().decode("latin-1").translate(self.letters)
+        return array(self.code, [t.id for t in self.library.model.tokenize(spelled)]).tobytes()
+
     def _word(self, word: str) -> bytes:
         if not word:
             return b""
+        if plain_letters(word):
+            lower = word.lower()
+            return self.run_of_letters(word) if lower == word else self.words[lower]
         letters = stem(word)
         return self.words[word[:letters]] + self.words[word[letters:]] if letters else self.whole(word)
 
     def _plain(self, word: str, space: str) -> bytes:
         if not word or word[0].isspace() or word[-1].isspace():
             raise Irregular
+        if plain_letters(word):
+            return self.run_of_letters(space + word)
         letters = stem(word)
         if letters:
             return (self.spaced if space else self.first)[word[:letters]] + self.first[word[letters:]]
