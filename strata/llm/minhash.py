@@ -4,22 +4,27 @@ All coordinates of a signature come from two permutations of a universe of 2 **
 shingles over the places; the second, turned by k places, gives coordinate k: the least value of it that one of the
 shingles has. No further permutations are drawn, so coordinates are cheap, and they are put in bands of several.
 
-Documents with equal sets are one node. Nodes that share a band are candidates, and a link is confirmed on the whole sets
-of shingles, made again from the whole texts. A band that very many nodes share is not turned into pairs at once: in every
-round a node is compared with one leader of its bands that it isn't connected to yet, so a large group of near copies
-becomes one component after some rounds. What is left are pairs of nodes of one band in different components; when these
-are few, or rounds find few more links, all of them are compared. So every pair that shares a band is either compared or
-connected already.
+Documents with equal sets are one node. Nodes that share a band meet in a task, which links them until none of its pairs
+that may be alike is left unlinked or uncompared: sizes and the lowest bits of the signatures must allow the similarity (texts
+go only where they do), and it is confirmed on the whole sets of shingles, made again from the whole texts. Pairs that are connected already are
+passed over, a pair is looked at in the first band that it shares, and bands of the same nodes are one. Only links leave a
+task, fewer than it has nodes.
+
+A band of very many nodes is cut into blocks, and each two blocks meet in a task of their own. Before, its nodes are
+compared with a leader of their band that they are not connected to, round after round while that pays, so large groups of
+near copies are one component by then and their bands need no blocks at all.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from functools import reduce
 from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import UID, append_columns, arrow_map, numbered, stored, with_text
@@ -29,10 +34,11 @@ WORDS, PERCENT = 3, 85
 # Two sets that share 85 hundredths of their shingles have a band in common but for once in some four million cases;
 # sets that share a half of them have one in a sixth of all cases.
 BANDS, ROWS = 48, 8
+SIGMAS = 6
 # Shingles that are looked at together, so that their values stay in a core's cache.
 TOGETHER = 512
-# Bytes of text, and pairs, per block of nodes that are compared with those of another block.
-BLOCK_BYTES, BLOCK_PAIRS = 2 << 20, 20_000
+# Nodes and bytes of text per block of nodes that are compared with each other or with those of another block.
+BLOCK_NODES, BLOCK_BYTES = 512, 2 << 20
 # Rounds go on while at least one in so many of the pairs compared is a link.
 WORTH = 10
 
@@ -81,17 +87,19 @@ def signature(hashes: np.ndarray, length: int) -> np.ndarray:
     return least
 
 
-def sketch(text: str, words: int, bands: int, rows: int) -> tuple[int, bytes, np.ndarray]:
-    """Size of a text's set, a digest of the set, and a key for every band of its signature."""
+def sketch(text: str, words: int, bands: int, rows: int) -> tuple[int, bytes, np.ndarray, np.ndarray]:
+    """Size of a text's set, a digest of the set, a key for every band of its signature, and the lowest bits of it."""
     from xxhash import xxh64_intdigest as digest
 
     found = shingles(text, words)
     if not found:
-        return 0, b"", np.empty(0, np.int64)
+        return 0, b"", np.empty(0, np.int64), np.empty(0, np.int64)
     hashes = np.sort(np.fromiter(map(digest, found), np.uint64, len(found)))
-    band = signature(hashes, bands * rows).reshape(bands, rows)
-    keys = np.fromiter((digest(band[k].tobytes(), k) for k in range(bands)), np.uint64, bands)
-    return len(found), blake2b(hashes, digest_size=16).digest(), keys.view(np.int64)
+    whole = signature(hashes, bands * rows)
+    keys = np.fromiter((digest(band.tobytes(), k) for k, band in enumerate(whole.reshape(bands, rows))), np.uint64, bands)
+    bits = np.packbits((whole & np.uint32(1)).astype(np.uint8))
+    bits = np.pad(bits, (0, -len(bits) % 8)).view(np.int64)
+    return len(found), blake2b(hashes, digest_size=16).digest(), keys.view(np.int64), bits
 
 
 def alike(a: set[bytes], b: set[bytes], percent: int) -> bool:
@@ -99,91 +107,167 @@ def alike(a: set[bytes], b: set[bytes], percent: int) -> bool:
     return 100 * shared >= percent * (len(a) + len(b) - shared)
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """Those of the pairs ``a, b`` of nodes whose sets are alike.
+def most_differing(percent: int, coordinates: int) -> float:
+    """Signatures differ in half as many lowest bits as coordinates. Linked pairs differ in more than so many only once in
+    more than ten million cases."""
+    share = (1 - percent / 100) / 2
+    return coordinates * share + SIGMAS * math.sqrt(coordinates * share * (1 - share))
 
-    Nodes are dealt to blocks, and a pair is compared where its two blocks meet, so a text travels once per block that it
-    is compared with, not once per pair. There are so many blocks that the texts of two, and the pairs between two, are a
-    small piece of work.
-    """
-    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    texts = stored(texts.join(nodes, "node", "left_semi"), "pair-texts")
-    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, math.ceil(size / BLOCK_BYTES), math.ceil(math.sqrt(pairs.count() / BLOCK_PAIRS)))
-    block = lambda node: F.pmod(F.xxhash64(node, F.lit(blocks)), F.lit(blocks))
-    one, other = F.least(block("a"), block("b")), F.greatest(block("a"), block("b"))
-    met = pairs.select(one.alias("one"), other.alias("other"), "a", "b")
-    needed = met.select("one", "other", F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = needed.join(texts, "node").select("one", "other", F.lit(0).alias("kind"), F.col("node").alias("a"), F.lit(None).cast("bigint").alias("b"), "text")
-    rows = sets.unionByName(met.select("one", "other", F.lit(1).alias("kind"), "a", "b", F.lit(None).cast("string").alias("text")))
+
+def confirmed(pairs: DataFrame, candidates: DataFrame, words: int, percent: int) -> DataFrame:
+    """Those of the pairs ``a, b`` of nodes whose sets are alike, for at most one pair per node ``b``. A node ``a`` may
+    have any number of pairs: its text goes to as many tasks as its pairs need."""
+    texts = candidates.select("node", "text")
+    crowded = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK_NODES).alias("parts"))
+    firsts = crowded.join(texts.withColumnRenamed("node", "a"), "a").select("a", F.col("text").alias("one"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"))
+    spread = pairs.join(crowded, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("parts")).alias("part"))
+    whole = spread.join(texts.withColumnRenamed("node", "b"), "b").join(firsts, ["a", "part"]).select("a", "b", "one", "text")
 
     def run(batches):
-        place, held = None, {}
+        last, mine = None, set()
         for batch in batches:
-            firsts, seconds = [], []
-            for x, y, kind, a, b, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (x, y) != place:
-                    place, held = (x, y), {}
-                if not kind:
-                    held[a] = shingles(text, words)
-                elif alike(held[a], held[b], percent):
-                    firsts.append(a)
-                    seconds.append(b)
-            yield pa.RecordBatch.from_arrays([pa.array(firsts, pa.int64()), pa.array(seconds, pa.int64())], ["a", "b"])
-
-    dealt = rows.repartition("one", "other").sortWithinPartitions("one", "other", "kind")
-    return arrow_map(dealt, run, "a bigint, b bigint")
+            keep = []
+            for a, one, other in zip(*(batch.column(k).to_pylist() for k in (0, 2, 3)), strict=True):
+                if a != last:
+                    last, mine = a, shingles(one, words)
+                keep.append(alike(mine, shingles(other, words), percent))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return arrow_map(whole, run, "a bigint, b bigint")
+
+
+def leaders_links(placed: DataFrame, candidates: DataFrame, words: int, percent: int, coordinates: int, number: int) -> tuple[DataFrame, int]:
+    """One round: links of nodes to leaders of their bands, drawn anew in every round, and the number of pairs compared."""
+    known = placed.join(candidates.select("node", "n", "bits"), "node")
+    drawn = F.xxhash64("node", F.lit(number))
+    leaders = known.groupBy("key").agg(F.min(F.struct(drawn.alias("drawn"), "node", "root", "n", "bits")).alias("leader"))
+    n, m = F.col("n"), F.col("leader.n")
+    words_differ = [F.bit_count(F.col("bits")[k].bitwiseXOR(F.col("leader.bits")[k])) for k in range(math.ceil(coordinates / 64))]
+    possible = (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (reduce(Column.__add__, words_differ) <= most_differing(percent, coordinates))
+    met = known.join(leaders, "key").where((F.col("root") != F.col("leader.root")) & possible)
+    pairs = met.groupBy(F.col("node").alias("b")).agg(F.min_by("leader.node", "leader.drawn").alias("a")).select("a", "b")
+    pairs = stored(pairs, "pairs")
+    return stored(confirmed(pairs, candidates, words, percent), "links"), pairs.count()
+
+
+class _Group(dict):
+    """Disjoint sets."""
+
+    def find(self, x: int) -> int:
+        while (up := self.setdefault(x, x)) != x:
+            self[x] = x = self.setdefault(up, up)
+        return x
+
+
+def possible_pairs(rows: list[tuple], cross: bool, percent: int, limit: float) -> np.ndarray:
+    """Places of the pairs of rows ``(block, node, root, n, bits, ..)`` that may be alike by sizes and signatures and are not
+    connected yet, the likeliest first; with ``cross`` only those of different blocks."""
+    blocks, _, roots, sizes, bits = (np.asarray([r[k] for r in rows], np.int64) for k in range(5))
+    bits, found = bits.view(np.uint64), []
+    for i in range(len(rows) - 1):
+        rest = slice(i + 1, None)
+        differing = np.bitwise_count(bits[rest] ^ bits[i]).sum(axis=1, dtype=np.int64)
+        may = (differing <= limit) & (roots[rest] != roots[i])
+        may &= 100 * np.minimum(sizes[rest], sizes[i]) >= percent * np.maximum(sizes[rest], sizes[i])
+        if cross:
+            may &= blocks[rest] != blocks[i]
+        some = np.flatnonzero(may)
+        found.append(np.stack([differing[some], np.full(len(some), i), some + i + 1]))
+    pairs = np.concatenate(found, axis=1) if found else np.empty((3, 0), np.int64)
+    return pairs[1:, np.argsort(pairs[0], kind="stable")]
+
+
+def linked_in_block(key: int, rows: list[tuple], cross: bool, words: int, percent: int, limit: float) -> list[tuple[int, int]]:
+    """Links that connect the nodes ``(block, node, root, n, bits, keys, text)`` of a band wherever pairs of them are alike."""
+    group, sets, out = _Group(), {}, []
+
+    def shingled(k: int) -> set[bytes]:
+        if k not in sets:
+            sets[k] = shingles(rows[k][6], words)
+        return sets[k]
+
+    for i, j in possible_pairs(rows, cross, percent, limit).T.tolist():
+        x, y = group.find(rows[i][2]), group.find(rows[j][2])
+        if x == y or next(a for a, b in zip(rows[i][5], rows[j][5], strict=True) if a == b) != key:
+            continue
+        if alike(shingled(i), shingled(j), percent):
+            group[max(x, y)] = min(x, y)
+            out.append((rows[i][1], rows[j][1]))
+    return out
+
+
+def units(batches) -> Iterator[tuple[tuple, list[tuple]]]:
+    """Rows that follow each other with the same first three values: these values, and the others of all such rows."""
+    place, held = None, []
+    for batch in batches:
+        for now in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if now[:3] != place:
+                if held:
+                    yield place, held
+                place, held = now[:3], []
+            held.append(now[3:])
+    if held:
+        yield place, held
+
+
+def block_links(placed: DataFrame, candidates: DataFrame, words: int, percent: int, coordinates: int) -> DataFrame:
+    """``a, b``: links among the nodes of every band of ``key, pos, node, root``."""
+    # Bands of the same nodes are one: the first. So the first band that a pair shares is there.
+    members = F.struct(F.count(F.lit(1)), F.min("node"), F.sum(F.xxhash64("node").cast("decimal(38,0)")), F.sum(F.hash("node").cast("decimal(38,0)")))
+    sized = placed.join(candidates.select("node", F.octet_length("text").alias("bytes")), "node")
+    bands = sized.groupBy("key").agg(members.alias("members"), F.min("pos").alias("pos"), F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"))
+    bands = bands.groupBy("members").agg(F.min_by(F.struct("key", "n", "bytes"), "pos").alias("band")).select("band.*")
+    parts = F.ceil(F.greatest(F.col("n") / BLOCK_NODES, F.col("bytes") / BLOCK_BYTES))
+    bands = stored(bands.select("key", F.greatest(parts, F.lit(1)).cast("int").alias("parts")), "bands")
+    block = F.pmod(F.hash("node"), F.col("parts"))
+    dealt = placed.join(bands, "key").withColumn("block", block).withColumn("met", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    # A band of one block meets itself; of several, a block's own pairs are looked at where it meets itself.
+    dealt = dealt.select("key", F.least("block", "met").alias("one"), F.greatest("block", "met").alias("other"), "block", "node", "root")
+    limit, order = most_differing(percent, coordinates), ["key", "one", "other"]
+    together = lambda df: df.repartition(*order).sortWithinPartitions(*order)
+
+    def narrow(batches):
+        for (key, one, other), rows in units(batches):
+            some = np.unique(possible_pairs(rows, one != other, percent, limit)).tolist()
+            kept = [(key, one, other, *rows[k][:3]) for k in some]
+            columns = zip(*kept, strict=True) if kept else [[]] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
 
+    def run(batches):
+        for (key, one, other), rows in units(batches):
+            found = linked_in_block(key, rows, one != other, words, percent, limit)
+            yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], ["a", "b"])
 
-def _fits(percent: int):
-    """Sets of too different sizes can't be alike."""
-    return 100 * F.least("n", "m") >= percent * F.greatest("n", "m")
+    # Texts go only where a node has a partner that may be like it.
+    kinds, names = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64()], [*order, "block", "node", "root"]
+    light = dealt.join(candidates.select("node", "n", "bits"), "node").select(*order, "block", "node", "root", "n", "bits")
+    needed = stored(arrow_map(together(light), narrow, "key bigint, one int, other int, block int, node bigint, root bigint"), "needed")
+    rows = needed.join(candidates.select("node", "n", "bits", "keys", "text"), "node").select(*order, "block", "node", "root", "n", "bits", "keys", "text")
+    return arrow_map(together(rows), run, "a bigint, b bigint")
 
 
-def links(listed: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """``node, root`` of all nodes that are linked; ``listed`` has ``key, node, n`` for bands that several nodes share."""
+def links(listed: DataFrame, candidates: DataFrame, words: int, percent: int, coordinates: int) -> DataFrame:
+    """``node, root`` of all nodes that are linked. ``listed`` has ``key, pos, node`` for bands that several nodes share,
+    ``candidates`` has ``node, n, bits, keys, text`` for these nodes."""
     spark = listed.sparkSession
-    found = spark.createDataFrame([], "a bigint, b bigint")
-    tried, roots, number, gains = found, spark.createDataFrame([], "node bigint, root bigint"), 0, True
-    total = listed.count()
+    found, roots, number = spark.createDataFrame([], "a bigint, b bigint"), spark.createDataFrame([], "node bigint, root bigint"), 0
     while True:
         # Bands whose nodes are all connected have nothing left to tell.
-        placed = listed.join(roots, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("root"))
-        placed = stored(placed, "bands")
-        sizes = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
-        sizes = sizes.groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own"))
-        sizes = stored(sizes.where(F.col("n") * F.col("n") > F.col("own")), "band-sizes")
-        left = sizes.agg(F.sum((F.col("n") * F.col("n") - F.col("own")) / 2)).first()[0] or 0
-        if not left:
-            return roots
-        listed = stored(placed.join(sizes.select("key"), "key", "left_semi"), "bands-open")
-        last = left <= total or not gains
-        if last:
-            x, y = listed.alias("x"), listed.alias("y")
-            other = (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root"))
-            pairs = x.join(y, other).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.n").alias("n"), F.col("y.n").alias("m"))
-        else:
-            drawn = F.xxhash64("node", F.lit(number))
-            leaders = listed.groupBy("key").agg(F.min(F.struct(drawn.alias("drawn"), F.col("node"), F.col("root"), F.col("n"))).alias("leader"))
-            pairs = listed.join(leaders, "key").where("root != leader.root").select(F.col("leader.node").alias("a"), F.col("node").alias("b"), "n", F.col("leader.n").alias("m"))
-        # Every pair is written from its smaller end in the table of what was tried.
-        pairs = pairs.where(_fits(percent)).select("a", "b").distinct()
-        low, high = F.least("a", "b"), F.greatest("a", "b")
-        fresh = pairs.join(tried.select(F.col("a").alias("low"), F.col("b").alias("high")), (F.col("low") == low) & (F.col("high") == high), "left_anti")
-        if not last:
-            fresh = fresh.groupBy("b").agg(F.min_by("a", F.xxhash64("a", F.lit(number))).alias("a")).select("a", "b")
-        fresh = stored(fresh, "pairs")
-        more = stored(confirmed(fresh, texts, words, percent), "links")
-        linked = more.count()
-        gains = linked * WORTH >= fresh.count()
-        if linked:
-            found = stored(found.unionByName(more), "links")
-            roots = stored(components(found), "roots")
-        if last:
-            return roots
-        listed = listed.drop("root")
-        tried = stored(tried.unionByName(fresh.select(low.alias("a"), high.alias("b"))), "tried")
-        number += 1
+        placed = listed.join(roots, "node", "left").select("key", "pos", "node", F.coalesce("root", "node").alias("root"))
+        several = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("n"))
+        several = stored(several.where("low < high").select("key", "n"), "bands-open")
+        placed = stored(placed.join(several, "key"), "placed")
+        crowded = placed.where(F.col("n") > BLOCK_NODES).drop("n")
+        if crowded.isEmpty():
+            break
+        more, compared = leaders_links(crowded, candidates, words, percent, coordinates, number)
+        found, number = stored(found.unionByName(more), "links"), number + 1
+        roots = stored(components(found), "roots")
+        if more.count() * WORTH < compared or not compared:
+            break
+        listed = placed.select("key", "pos", "node")
+    last = placed.join(roots.withColumnRenamed("root", "now"), "node", "left").select("key", "pos", "node", F.coalesce("now", "node").alias("root"))
+    return components(stored(found.unionByName(block_links(last, candidates, words, percent, coordinates)), "links"))
 
 
 def near_duplicates(
@@ -200,18 +284,20 @@ def near_duplicates(
     plain = with_text(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "text")
 
     def make():
-        return lambda texts: tuple(zip(*(sketch(t, words, bands, rows) for t in texts), strict=True)) or ([], [], [])
+        return lambda texts: tuple(zip(*(sketch(t, words, bands, rows) for t in texts), strict=True)) or ([], [], [], [])
 
-    all_rows = stored(numbered(append_columns(plain, "text", make, n="bigint", same="binary", keys="array<bigint>")), "sketches")
+    all_rows = stored(numbered(append_columns(plain, "text", make, n="bigint", same="binary", keys="array<bigint>", bits="array<bigint>")), "sketches")
     full = all_rows.where("n > 0")
     # One node per set, numbered by one of its rows.
     nodes = stored(full.groupBy("same").agg(F.min(UID).alias("node"), F.min("id").alias("first")), "nodes")
     chosen = nodes.select(F.col("node").alias(UID))
     own = full.join(chosen, UID, "left_semi")
-    index = own.select(F.col(UID).alias("node"), "n", F.explode("keys").alias("key"))
+    index = own.select(F.col(UID).alias("node"), F.posexplode("keys").alias("pos", "key"))
     shared = stored(index.groupBy("key").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("key"), "shared")
-    listed = stored(index.join(shared, "key", "left_semi").select("key", "node", "n"), "listed")
-    roots = links(listed, full.select(F.col(UID).alias("node"), "text"), words, percent)
+    listed = stored(index.join(shared, "key", "left_semi").select("key", "pos", "node"), "listed")
+    meeting = stored(listed.select(F.col("node").alias(UID)).distinct(), "meeting")
+    candidates = stored(full.join(meeting, UID, "left_semi").select(F.col(UID).alias("node"), "n", "bits", "keys", "text"), "candidates")
+    roots = stored(links(listed, candidates, words, percent, bands * rows), "roots")
     placed = nodes.join(roots, "node", "left").select("same", "first", F.coalesce("root", "node").alias("root"))
     least = placed.groupBy("root").agg(F.min("first").alias("component_id"))
     named = stored(placed.join(least, "root").select("same", "component_id"), "component-ids")

@@ -275,11 +275,11 @@ def near_copies(draw, count):
     return out
 
 
-@pytest.mark.parametrize("worth", [0, 10])
-def test_minhash_of_awkward_rows(spark, monkeypatch, worth):
-    """With a worth of 0 rounds end at once and all pairs that are left are compared."""
+@pytest.mark.parametrize(("block", "worth"), [(512, 10), (7, 10), (7, 0)])
+def test_minhash_of_awkward_rows(spark, monkeypatch, block, worth):
+    """Bands of one block, bands cut into blocks after rounds with leaders, and without waiting for them to pay."""
     monkeypatch.setattr(minhash, "WORTH", worth)
-    monkeypatch.setattr(minhash, "BLOCK_PAIRS", 50)
+    monkeypatch.setattr(minhash, "BLOCK_NODES", block)
     draw = random.Random(5)
     base = [f"b{k}" for k in range(100)]
     texts = [None, "", " \n", "one", "ONE", "one two", "one two three", "One  two\tTHREE", "a b c d", "ünï ÜNÏ é", " ".join(base), " ".join(base[:-6]), " ".join(base[:-25])]
@@ -309,8 +309,7 @@ def test_permutations_lose_nothing():
     assert len(np.unique(minhash.first_permutation(x))) == len(np.unique(y)) == len(x)
 
 
-def test_bands_are_spread_over_rounds(spark):
-    """Two groups of near copies with a common half: rounds and the last comparison together find each, and not both as one."""
+def test_groups_with_a_common_half_stay_apart(spark):
     draw = random.Random(7)
     half = [f"h{k}" for k in range(100)]
     rows = []
