@@ -1,7 +1,9 @@
-from strata.operators.asof import asof_left_join
+from strata.operators.asof import asof_left_join, asof_ordered
 from strata.operators.quality import (
     expect_all_or_drop,
     get_rules,
+    observe_rules,
+    observed_metrics,
     quarantine,
     rule_metrics,
     rules_by_tag,
@@ -17,10 +19,13 @@ from strata.operators.scd import (
 
 __all__ = [
     "asof_left_join",
+    "asof_ordered",
     "current_versions",
     "expect_all_or_drop",
     "get_rules",
     "latest_per_key",
+    "observe_rules",
+    "observed_metrics",
     "quarantine",
     "rule_metrics",
     "rules_by_tag",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -88,6 +88,20 @@ def rule_metrics(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
     return counts.select(F.inline(F.array(*lines)))
 
 
+def observe_rules(df: DataFrame, rules: Mapping[str, str]) -> tuple[DataFrame, Observation]:
+    """The same rows, and an observation that counts passed rows per rule while they are written: no pass of its own."""
+    seen = Observation()
+    counts = [F.count_if(_holds(p)).alias(f"r{i}") for i, p in enumerate(rules.values())]
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *counts), seen
+
+
+def observed_metrics(spark: SparkSession, seen: Observation, rules: Mapping[str, str]) -> DataFrame:
+    """What :func:`rule_metrics` gives, from an observation whose rows have been written."""
+    counts = seen.get
+    rows = [(name, counts[f"r{i}"], counts["rows"] - counts[f"r{i}"]) for i, name in enumerate(rules)]
+    return spark.createDataFrame(rows, "rule_name string, passed bigint, failed bigint")
+
+
 def _holds(predicate: str) -> Column:
     return F.coalesce(F.expr(predicate), F.lit(False))
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.keys import event_order, order_columns
-from strata.operators.skew import KEY, ROWS_PER_SLICE, SLICE, heavy_keys, heavy_rows, other_rows
+from strata.operators.skew import KEY, ROWS_PER_SLICE, SLICE, heavy_keys, in_ranges, other_rows, rows_of
 
 START_AT, END_AT = "__START_AT", "__END_AT"
 _DELETED = "__deleted"
@@ -131,7 +131,8 @@ def timeline(
         versions = _versions(events, keys, names, track_columns)
     else:
         usual = _versions(other_rows(events, heavy, keys), keys, names, track_columns)
-        cut = _sliced_versions(events, heavy, keys, names, track_columns)
+        slices = -(-heavy.agg(F.sum("__n")).first()[0] // rows_per_slice)
+        cut = _sliced_versions(rows_of(events, heavy, keys), slices, names, track_columns)
         versions = usual.unionByName(cut)
     return versions.select(*changes.columns, END_AT)
 
@@ -177,21 +178,17 @@ def _versions(
 
 
 def _sliced_versions(
-    events: DataFrame,
-    heavy: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    track: Sequence[str] | None,
+    events: DataFrame, slices: int, order: Sequence[str], track: Sequence[str] | None
 ) -> DataFrame:
-    """:func:`_versions` of heavy keys, by (key, slice) instead of key.
+    """:func:`_versions` of heavy keys, by range of (key, sequence) instead of key.
 
-    Ties go first, in a window by (key, sequence), so that not even one heavy instant reaches a single task. What a slice
-    must know of its neighbours (the first sequence after it, the tracked values before it) is one row per non-empty
-    slice, aggregated before it is shuffled.
+    Ties go first, in a window by (key, sequence) that drops rows before its shuffle, so that not even one heavy instant
+    reaches a single task. What a slice must know of its neighbours (the first sequence after it, the tracked values
+    before it) is one row per key and non-empty slice, aggregated before it is shuffled.
     """
     sequence = order[0]
-    rows = heavy_rows(events, heavy, keys, sequence)
-    sliced = _last(rows, [KEY, SLICE, sequence], [F.col(c) for c in order])
+    last = _last(events, [KEY, sequence], [F.col(c) for c in order])
+    rows = sliced = in_ranges(last, [KEY, sequence], slices)
     timeline = Window.partitionBy(KEY, SLICE).orderBy(sequence)
     between = Window.partitionBy(KEY).orderBy(SLICE)
 

@@ -1,9 +1,9 @@
 """Split the timeline of keys that hold too many rows for one task.
 
-A window over one key runs in one task, and a range join compares every row of a key with every version of it. Both
-break when one key holds a large share of the data. For such keys only, the key's rows are cut at quantiles of their
-time, and (key, slice) takes the place of the key. Quantiles follow the rows: neither a burst nor a date of 1900 or 9999
-that stands for something else makes a slice larger than others. Only rows of one and the same instant stay together.
+A window over one key runs in one task, and an equi-join by key brings all its rows together. Both break when one key holds
+a large share of the data. Such rows are dealt by range of (key, time) instead: Spark samples them, so neither a burst nor a
+date that stands for something else makes a range larger than others, and any type that can be sorted will do. What a range
+must know of those before and behind it is one row per key and range.
 """
 
 from __future__ import annotations
@@ -12,93 +12,41 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from strata.session import written
 
 # Rows of one key that a single window task takes without trouble (it spills, but does not straggle).
 ROWS_PER_SLICE = 4_000_000
-# Quantiles are approximate; cutting finer than needed keeps slices below the bound.
-OVERSPLIT = 4
-# Most slices of one key, as blocks times slices in a block: a row finds its slice by looking at one border per block,
-# then at the borders of its block.
-BLOCK = 64
-MOST_SLICES = BLOCK * BLOCK
 
 KEY, SLICE = "__key", "__slice"
 
 
-def position(df: DataFrame, column: str) -> Column | None:
-    """A number that never decreases along the column's order, or None where the type offers none."""
-    t, c = df.schema[column].dataType, F.col(column)
-    if isinstance(t, T.DateType):
-        return F.unix_date(c).cast("double")
-    if isinstance(t, T.TimestampType):
-        return F.unix_micros(c).cast("double")
-    if isinstance(t, T.TimestampNTZType):
-        seconds = F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
-        return (F.unix_date(F.to_date(c)).cast("bigint") * 86400 + seconds).cast("double")
-    if isinstance(t, T.NumericType):
-        return c.cast("double")
-    return None
-
-
 def key_struct(keys: Sequence[str]) -> Column:
     """All keys as one value. Structs compare with NULL equal to NULL, so a NULL key is a group like any other."""
     return F.struct(*[F.col(k) for k in keys])
 
 
-def heavy_keys(
-    df: DataFrame, keys: Sequence[str], at: str, rows_per_slice: int
-) -> DataFrame | None:
-    """One row per key that holds more than ``rows_per_slice`` rows, with the borders of its slices; None when there is
-    no such key.
+def heavy_keys(df: DataFrame, keys: Sequence[str], at: str, rows_per_slice: int) -> DataFrame | None:
+    """``__key, __n`` of the keys that hold more than ``rows_per_slice`` rows; None when there is no such key.
 
-    Reads only the key and time columns and counts before it shuffles; the borders are worked out for heavy keys alone.
-    The result has fewer than ``rows / rows_per_slice`` rows.
+    Reads only the key and time columns and counts before it shuffles. The result has fewer than
+    ``rows / rows_per_slice`` rows.
     """
-    place = position(df, at)
-    narrow = df.where(F.col(at).isNotNull()).select(
-        key_struct(keys).alias(KEY), (place if place is not None else F.lit(0.0)).alias("__at")
-    )
-    heavy = narrow.groupBy(KEY).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > rows_per_slice)
-    heavy = written(heavy, "heavy-keys")
-    if heavy.isEmpty():
-        return None
-    quantiles = [i / MOST_SLICES for i in range(1, MOST_SLICES)]
-    step = F.greatest(F.floor(MOST_SLICES / (F.ceil(F.col("__n") / rows_per_slice) * OVERSPLIT)), F.lit(1))
-    borders = (
-        narrow.join(heavy, KEY)
-        .groupBy(KEY)
-        .agg(F.percentile_approx("__at", quantiles).alias("__all"), F.first("__n").alias("__n"))
-        .withColumn("__step", step)
-        .withColumn("__fine", F.array_distinct(F.expr("filter(__all, (x, i) -> (i + 1) % __step = 0)")))
-    )
-    return written(
-        borders.select(KEY, "__fine", F.expr(f"filter(__fine, (x, i) -> (i + 1) % {BLOCK} = 0)").alias("__coarse")), "heavy-keys"
-    )
-
-
-def slice_of(place: Column) -> Column:
-    """Slice number of a position: how many borders are at or below it. NULL for ordinary keys."""
-    blocks = F.size(F.filter("__coarse", lambda x: x <= place))
-    within = F.size(F.filter(F.slice("__fine", blocks * BLOCK + 1, BLOCK), lambda x: x <= place))
-    return blocks * BLOCK + within
-
-
-BORDERS = ("__fine", "__coarse")
-
-
-def heavy_rows(df: DataFrame, heavy: DataFrame, keys: Sequence[str], at: str) -> DataFrame:
-    """The rows of heavy keys, with the key struct and the slice number."""
-    place = position(df, at)
-    number = F.coalesce(slice_of(place), F.lit(0)) if place is not None else F.lit(0)
-    return (
-        df.withColumn(KEY, key_struct(keys))
-        .join(heavy, KEY)
-        .withColumn(SLICE, number)
-        .drop(*BORDERS)
-    )
+    narrow = df.where(F.col(at).isNotNull()).select(key_struct(keys).alias(KEY))
+    heavy = written(narrow.groupBy(KEY).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > rows_per_slice), "heavy-keys")
+    return None if heavy.isEmpty() else heavy
+
+
+def in_ranges(df: DataFrame, order: Sequence[str], ranges: int) -> DataFrame:
+    """The rows, stored once, with the number of the range of ``order`` that they lie in: about equally many in each, rows
+    equal in ``order`` in the same."""
+    dealt = df.repartitionByRange(max(1, ranges), *order).withColumn(SLICE, F.spark_partition_id())
+    return written(dealt, "ranges")
+
+
+def rows_of(df: DataFrame, heavy: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of heavy keys, with the key struct."""
+    return df.withColumn(KEY, key_struct(keys)).join(heavy.select(KEY), KEY, "left_semi")
 
 
 def other_rows(df: DataFrame, heavy: DataFrame, keys: Sequence[str]) -> DataFrame:

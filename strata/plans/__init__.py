@@ -1,5 +1,6 @@
 from strata.plans.facts import (
     Dimension,
+    MaintainedSummary,
     asof_dimensions,
     join_header,
     recompute_facts,
@@ -11,6 +12,7 @@ from strata.plans.retail import RULES, RetailStore
 __all__ = [
     "RULES",
     "Dimension",
+    "MaintainedSummary",
     "RetailStore",
     "asof_dimensions",
     "join_header",

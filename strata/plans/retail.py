@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from strata.conf import PipelineConf
 from strata.functions import cast_columns, explode_items, flatten_struct, stamp, surrogate_key
 from strata.operators.quality import get_rules, rules_frame
-from strata.plans.facts import Dimension, recompute_facts, sales_summary
+from strata.plans.facts import Dimension, MaintainedSummary, recompute_facts
 from strata.sources import (
     Landing,
     SchemaStore,
@@ -24,7 +24,6 @@ from strata.sources import (
     bronze_stream,
     create_layers,
     ingest,
-    materialize_view,
     register_table,
 )
 from strata.streaming import ChangeSpec, KeyedTarget, cdc_flow, run_available
@@ -170,9 +169,15 @@ class RetailStore:
         )
         return self._target(self.conf.gold_schema, "fact_sale_details", spec)
 
+    @cached_property
+    def kept_summary(self) -> MaintainedSummary:
+        """The summary follows the fact batch by batch."""
+        path = self.conf.table(self.conf.gold_schema, "v_sales_summary")
+        return MaintainedSummary(self.spark, path, buckets=self.conf.buckets)
+
     def summary(self) -> DataFrame:
         """The stored summary."""
-        return self.spark.read.parquet(self.conf.table(self.conf.gold_schema, "v_sales_summary"))
+        return self.kept_summary.read()
 
     # -- flows ------------------------------------------------------------------------------------------------------
 
@@ -216,7 +221,7 @@ class RetailStore:
         """Recompute the facts of every transaction that was sent again, from both silver tables as they are now."""
         stream = self._stream("sales")
         run_available(
-            stream, lambda batch, _: self._recompute(batch.select("transaction_id")), self.conf.checkpoint("gold_facts")
+            stream, lambda batch, n: self._recompute(batch.select("transaction_id"), ("facts", n)), self.conf.checkpoint("gold_facts")
         )
 
     def refresh_facts(self, name: str) -> None:
@@ -227,21 +232,19 @@ class RetailStore:
         key = DATASETS[name].key
         holder = self.silver("sale_details" if name == "products" else "sales")
 
-        def handle(batch: DataFrame, _: int) -> None:
+        def handle(batch: DataFrame, n: int) -> None:
             if not self.fact.has_rows():
                 return
             rows = holder.read().select("transaction_id", key)
             changed = batch.select(F.col(key).try_cast(rows.schema[key].dataType).alias(key)).distinct()
-            self._recompute(rows.join(changed, key, "left_semi").select("transaction_id"))
+            self._recompute(rows.join(changed, key, "left_semi").select("transaction_id"), (name, n))
 
         run_available(self._stream(name), handle, self.conf.checkpoint(f"gold_refresh_{name}"))
 
     def load_summary(self) -> None:
-        """Rebuild the summary from the fact."""
-        path = self.conf.table(self.conf.gold_schema, "v_sales_summary")
-        materialize_view(
-            sales_summary(self.fact.read()), f"{self.conf.gold_schema}.v_sales_summary", path, "Sales per transaction"
-        )
+        """Name the summary in the catalog. Its rows follow the fact with every batch."""
+        if self.kept_summary.table.schema() is not None:
+            self.kept_summary.declare(f"{self.conf.gold_schema}.v_sales_summary", "Sales per transaction", {"quality": "gold"})
 
     def run(self, refresh: bool = True) -> None:
         """All flows once. With ``refresh``, facts follow dimension rows that came after them."""
@@ -258,16 +261,9 @@ class RetailStore:
                 self.refresh_facts(name)
         self.load_facts()
         self.load_summary()
-        self.expire()
-
-    def expire(self, keep: int = 2) -> None:
-        """Delete replaced generations of all targets except the newest ``keep``."""
-        targets = [*map(self.silver, [*DATASETS, "sale_details"]), *(self.dimension(d.name) for d in DATASETS.values() if d.dimension_key)]
-        for target in [*targets, self.fact]:
-            target.expire(keep)
 
     def register(self) -> None:
-        """Declare bronze tables, and views ``<layer>_<table>`` on the others as they are now."""
+        """Name all tables in the catalog, and views ``<layer>_<table>`` of this session on those of silver and gold."""
         c = self.conf
         for name in DATASETS:
             rows = self.bronze(name)
@@ -280,11 +276,11 @@ class RetailStore:
                 f"{name} as they landed",
                 partitioned_by=["ingest_batch"],
             )
-            self.silver(name).register(f"{c.silver_schema}_{name}")
+            self._name(self.silver(name), c.silver_schema, name, f"current {name}", "silver")
             if DATASETS[name].dimension_key:
-                self.dimension(name).register(f"{c.gold_schema}_dim_{name}")
-        self.silver("sale_details").register(f"{c.silver_schema}_sale_details")
-        self.fact.register(f"{c.gold_schema}_fact_sale_details")
+                self._name(self.dimension(name), c.gold_schema, f"dim_{name}", f"history of {name}", "gold")
+        self._name(self.silver("sale_details"), c.silver_schema, "sale_details", "current lines of sales", "silver")
+        self._name(self.fact, c.gold_schema, "fact_sale_details", "lines of sales with the valid dimension versions", "gold")
 
     # -- inside -----------------------------------------------------------------------------------------------------
 
@@ -294,6 +290,10 @@ class RetailStore:
     def _target(self, layer: str, name: str, spec: ChangeSpec) -> KeyedTarget:
         return KeyedTarget(self.spark, self.conf.table(layer, name), replace(spec, buckets=self.conf.buckets))
 
+    def _name(self, target: KeyedTarget, schema: str, name: str, comment: str, quality: str) -> None:
+        target.declare(f"{schema}.{name}", comment, {"quality": quality})
+        target.register(f"{schema}_{name}")
+
     def _stream(self, name: str) -> DataFrame:
         return bronze_stream(self.spark, self._bronze_path(name), self.schema_store(name))
 
@@ -311,10 +311,9 @@ class RetailStore:
         aside = self.conf.table("quarantine", flow)
         cdc_flow(self._stream(source), target, self.conf.checkpoint(flow), transform, rules, aside, DATASETS[source].types)
 
-    def _recompute(self, transactions: DataFrame) -> None:
-        recompute_facts(
-            transactions, self.silver("sale_details"), self.silver("sales"), self._dimensions(), self.fact
-        )
+    def _recompute(self, transactions: DataFrame, batch: tuple[str, int]) -> None:
+        sides = self.silver("sale_details"), self.silver("sales")
+        recompute_facts(transactions, *sides, self._dimensions(), self.fact, self.kept_summary, batch)
 
     def _dimensions(self) -> list[Dimension]:
         out = []

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from strata.operators import asof_left_join
+from strata.operators import asof_left_join, asof_ordered
 
 DAY0 = dt.date(2020, 1, 1)
 
@@ -30,12 +30,12 @@ def make(spark, seed, versions=60, facts=300):
 
 
 @pytest.mark.parametrize("threshold", ["10MB", "-1"])
-@pytest.mark.parametrize("per_slice", [None, 1, 7, 1000])
-def test_asof_finds_the_valid_version(spark, per_slice, threshold):
+@pytest.mark.parametrize("per_key", [None, 1, 7, 1000])
+def test_asof_finds_the_valid_version(spark, per_key, threshold):
     facts, dim, want = make(spark, 7)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     try:
-        out = asof_left_join(facts, dim, {"k": "id"}, "d", {"ver": "v"}, versions_per_slice=per_slice)
+        out = asof_left_join(facts, dim, {"k": "id"}, "d", {"ver": "v"}, versions_per_key=per_key)
         got = sorted((r.i, r.v) for r in out.collect())
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -48,7 +48,7 @@ def test_asof_with_mixed_time_types(spark, fact_type, dim_type):
     facts, dim, want = make(spark, 8)
     facts = facts.withColumn("d", F.col("d").cast(fact_type))
     dim = dim.withColumns({c: F.col(c).cast(dim_type) for c in ("__START_AT", "__END_AT")})
-    out = asof_left_join(facts, dim, {"k": "id"}, "d", ["ver"], versions_per_slice=5)
+    out = asof_left_join(facts, dim, {"k": "id"}, "d", ["ver"], versions_per_key=5)
     assert sorted((r.i, r.ver) for r in out.collect()) == want
     assert out.schema["d"].dataType.simpleString() == fact_type
 
@@ -67,7 +67,7 @@ def test_boundaries_unknown_and_far_future(spark):
 def test_numeric_time_and_cardinality(spark):
     dim = spark.range(100).selectExpr("id % 2 AS k", "id AS __START_AT", "id + 2 AS __END_AT", "id AS v")
     facts = spark.range(0, 150).selectExpr("id AS f", "id % 2 AS k", "id AS at")
-    out = asof_left_join(facts, dim, ["k"], "at", ["v"], versions_per_slice=5)
+    out = asof_left_join(facts, dim, ["k"], "at", ["v"], versions_per_key=5)
     assert out.count() == 150
     assert out.where("f < 100 AND NOT (v <=> f) OR f >= 100 AND v IS NOT NULL").count() == 0
 
@@ -84,7 +84,7 @@ def test_hot_fact_key_is_split_when_the_dimension_is_too_large_to_broadcast(spar
     try:
         facts = spark.range(60_000).selectExpr("id AS f", "if(id % 3 = 0, 0, id) AS k", "id AS at")
         dim = spark.range(60_000).selectExpr("id AS k", "0L AS __START_AT", "CAST(NULL AS BIGINT) AS __END_AT", "id AS v")
-        out = asof_left_join(facts, dim, ["k"], "at", ["v"], versions_per_slice=None)
+        out = asof_left_join(facts, dim, ["k"], "at", ["v"], versions_per_key=None)
         query = out.agg(F.count("*"), F.sum(F.expr("int(v = k)")))
         assert tuple(query.collect()[0]) == (60_000, 60_000)
         assert "skew=true" in query._jdf.queryExecution().executedPlan().toString()
@@ -101,3 +101,32 @@ def test_text_keys_meet_number_keys(spark):
     assert [r.v for r in asof_left_join(facts, dim, ["k"], "at", ["v"]).orderBy("k").collect()] == ["7", None]
     back = asof_left_join(dim.withColumn("at", F.lit(2)), facts.selectExpr("k", "1 AS __START_AT", "NULL AS __END_AT", "k AS w"), ["k"], "at", ["w"])
     assert sorted(r.w or 0 for r in back.collect()) == [0, 7]
+
+
+@pytest.mark.parametrize("ranges", [None, 1, 2, 5, 16])
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_ordered_pass_finds_the_valid_version(spark, seed, ranges):
+    facts, dim, want = make(spark, seed)
+    out = asof_ordered(facts, dim, {"k": "id"}, "d", {"ver": "v"}, ranges=ranges)
+    assert sorted((r.i, r.v) for r in out.collect()) == want
+    assert out.columns == ["i", "k", "d", "v"]
+
+
+def test_ordered_pass_drops_versions_that_have_ended(spark):
+    """A gap between versions, a NULL time, a NULL start, and a range that begins in the gap."""
+    dim = spark.createDataFrame([("a", 10, 20, "1"), ("a", 30, None, "2"), ("a", None, None, "x"), ("b", 5, 6, "3")], "k string, __START_AT int, __END_AT int, v string")
+    facts = spark.createDataFrame([(k, t) for k in "ab" for t in (None, 4, 5, 6, 10, 19, 20, 25, 29, 30, 99)], "k string, at int")
+    want = asof_left_join(facts, dim, ["k"], "at", ["v"], unknown="-").collect()
+    for ranges in (None, 3, 40):
+        got = asof_ordered(facts, dim, ["k"], "at", ["v"], unknown="-", ranges=ranges).collect()
+        assert sorted(map(tuple, got), key=repr) == sorted(map(tuple, want), key=repr)
+
+
+def test_ordered_pass_is_one_exchange_even_for_very_many_versions(spark):
+    dim = spark.range(100_000).selectExpr("0 AS k", "id AS __START_AT", "id + 1 AS __END_AT", "id AS v")
+    facts = spark.range(50_000).selectExpr("id AS f", "0 AS k", "id * 2 AS at")
+    out = asof_ordered(facts, dim, ["k"], "at", ["v"])
+    assert out.where("v <> at OR v IS NULL").count() == 0 and out.count() == 50_000
+    assert out._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    spread = asof_ordered(facts, dim, ["k"], "at", ["v"], ranges=8)
+    assert spread.where("v <> at OR v IS NULL").count() == 0 and spread.count() == 50_000

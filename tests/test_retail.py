@@ -170,6 +170,9 @@ def test_registered_names(store, spark):
     assert spark.table("bronze.location").count() == 2
     assert spark.sql("SELECT max(zone) FROM bronze.location").first()[0] == "Z"
     assert spark.sql("SELECT count(*) FROM gold_dim_customers").first()[0] == 5
+    assert spark.newSession().table("gold.dim_customers").count() == 5
+    assert rows(spark.table("silver.customers"), "customer_id", "city") == [("c1", "Y")]
+    assert rows(spark.table("gold.fact_sale_details"), "transaction_id", "line_total") == rows(store.fact.read(), "transaction_id", "line_total")
     assert spark.table("gold.v_sales_summary").count() == 4
     comment = spark.sql("DESCRIBE TABLE EXTENDED bronze.location").where("col_name = 'Comment'").first().data_type
     assert comment == "location as they landed"

@@ -137,11 +137,31 @@ def test_heavy_key_is_reduced_before_the_shuffle(spark):
 
 @pytest.mark.parametrize("shape", ["even", "sentinel", "burst"])
 def test_no_slice_is_much_larger_than_asked(spark, shape):
-    from strata.operators.skew import SLICE, heavy_keys, heavy_rows
+    from strata.operators.skew import KEY, SLICE, heavy_keys, in_ranges, rows_of
 
     when = {"even": "id", "sentinel": "if(id = 0, 253402214400, id)", "burst": "if(id % 10 = 0, id * 100000, id)"}[shape]
     rows = spark.range(50_000).selectExpr("1 AS k", f"timestamp_seconds({when}) AS at").unionByName(spark.range(5).selectExpr("2 AS k", "timestamp_seconds(id) AS at"))
     heavy = heavy_keys(rows, ["k"], "at", 1_000)
-    assert [r[0].k for r in heavy.select("__key").collect()] == [1]
-    sizes = [r["count"] for r in heavy_rows(rows, heavy, ["k"], "at").groupBy(SLICE).count().collect()]
-    assert sum(sizes) == 50_000 and max(sizes) <= 4_000 and len(sizes) >= 50
+    assert [(r[0].k, r[1]) for r in heavy.collect()] == [(1, 50_000)]
+    sizes = [r["count"] for r in in_ranges(rows_of(rows, heavy, ["k"]), [KEY, "at"], 50).groupBy(SLICE).count().collect()]
+    assert sum(sizes) == 50_000 and max(sizes) <= 2_000 and len(sizes) == 50
+
+
+def test_ranges_of_a_heavy_key_are_even(spark):
+    """A text sequence, one sentinel date with a tenth of the rows, and a burst: no range has more than twice the mean."""
+    from strata.operators.skew import SLICE, in_ranges
+
+    rows = spark.range(40_000).selectExpr(
+        "'hot' AS k", "CASE WHEN id % 10 = 0 THEN concat('9999-12-31 ', id) WHEN id % 3 = 0 THEN concat('2024-05-05 ', id) ELSE concat('20', id) END AS seq"
+    )
+    sizes = [r["count"] for r in in_ranges(rows, ["k", "seq"], 10).groupBy(SLICE).count().collect()]
+    assert len(sizes) == 10 and sum(sizes) == 40_000 and max(sizes) <= 2 * 4_000
+
+
+@pytest.mark.parametrize("track", [None, ["a"]])
+def test_heavy_key_with_a_text_sequence(spark, track):
+    data = [(k, f"s{n:03d}", op, a, src) for k, n, op, a, src in events(300, seed=5) if n is not None]
+    rows = spark.createDataFrame(data, "k string, seq string, op string, a int, src string")
+    whole = scd2(rows, ["k"], "seq", ["src"], "op = 'DELETE'", track_columns=track, rows_per_slice=None)
+    cut = scd2(rows, ["k"], "seq", ["src"], "op = 'DELETE'", track_columns=track, rows_per_slice=9)
+    assert as_tuples(cut) == as_tuples(whole)

@@ -1,3 +1,4 @@
+import pathlib
 import random
 
 import pytest
@@ -46,32 +47,57 @@ def test_delete_then_late_update_then_insert(spark, tmp_path):
     assert as_tuples(target.read()) == [("a", 6, 2, "h"), ("b", 1, 1, "f")]
 
 
-def test_attempt_that_died_before_its_commit_is_not_seen(spark, tmp_path):
+def test_writer_that_died_is_finished_by_the_next(spark, tmp_path):
     target = KeyedTarget(spark, str(tmp_path), spec())
-    target.upsert(spark.createDataFrame([("a", 1, "PUT", 1, "f")], SCHEMA))
+    put = lambda *rows: target.upsert(spark.createDataFrame(list(rows), SCHEMA))
+    put(*[(f"k{i}", 1, "PUT", 1, "f") for i in range(20)])
     before = as_tuples(target.read())
-    half = f"{tmp_path}/data/__gen=2/__bucket=0"
-    spark.createDataFrame([("zz", 9, "PUT", 9, "f")], SCHEMA).write.parquet(half)
+    # A copy without its end mark is ignored; one with it takes the place of its buckets, even if some of them are gone.
+    spark.createDataFrame([("zz", 9, "PUT", 9, "f", 0)], f"{SCHEMA}, __bucket int").write.partitionBy("__bucket").parquet(f"{tmp_path}/copy")
+    pathlib.Path(f"{tmp_path}/copy/_SUCCESS").unlink()
+    target.table.finish()
     assert as_tuples(target.read()) == before
-    target.upsert(spark.createDataFrame([("a", 2, "PUT", 2, "f")], SCHEMA))
-    assert as_tuples(target.read()) == [("a", 2, "PUT", 2, "f")]
-
-
-def test_only_touched_buckets_are_rewritten_and_old_ones_expire(spark, tmp_path):
+    whole = target.table.read().withColumn("__bucket", target.bucket())
+    whole.write.mode("overwrite").partitionBy("__bucket").parquet(f"{tmp_path}/copy")
+    gone = next(pathlib.Path(f"{tmp_path}/data").glob("__bucket=*"))
+    for file in gone.iterdir():
+        file.unlink()
+    assert as_tuples(target.read()) != before
+    put(("k0", 2, "PUT", 2, "f"))
+    assert as_tuples(target.read()) == sorted([r for r in before if r[0] != "k0"] + [("k0", 2, "PUT", 2, "f")], key=repr)
+    assert not pathlib.Path(f"{tmp_path}/copy").exists()
+
+
+def test_only_touched_buckets_are_rewritten(spark, tmp_path):
     target = KeyedTarget(spark, str(tmp_path), spec(scd_type=2))
-    keys = [f"k{i}" for i in range(40)]
-    target.upsert(spark.createDataFrame([(k, 1, "PUT", 1, "f") for k in keys], SCHEMA))
-    assert len(target.generations()) == 4
+    files = lambda: {f: f.stat().st_mtime_ns for f in pathlib.Path(f"{tmp_path}/data").rglob("*.parquet")}
+    target.upsert(spark.createDataFrame([(f"k{i}", 1, "PUT", 1, "f") for i in range(40)], SCHEMA))
+    first = files()
+    assert len({f.parent for f in first}) == 4
     target.upsert(spark.createDataFrame([("k0", 2, "PUT", 1, "f")], SCHEMA))
-    assert sorted(target.generations().values()) == [1, 1, 1, 2]
-    full = as_tuples(target.read())
-    assert len(full) == 41
-    assert target.expire(keep=1) == 1
-    assert as_tuples(target.read()) == full
+    kept = [f for f, t in files().items() if first.get(f) == t]
+    assert len({f.parent for f in kept}) == 3
+    assert target.read().count() == 41
     touched = {r[0] for r in spark.createDataFrame([("k0",)], "k string").select(target.bucket()).collect()}
     assert 0 < target.read(touched).count() < 41
 
 
+def test_named_target_is_read_by_another_session(spark, tmp_path):
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS named LOCATION '{tmp_path}/db'")
+    for scd_type, want in ((1, [("b", 1, 1, "f")]), (2, [("a", 1, 1, "f", 1, 2), ("b", 1, 1, "f", 1, None)])):
+        target = KeyedTarget(spark, f"{tmp_path}/t{scd_type}", spec(scd_type=scd_type, apply_as_deletes=DELETE, except_columns=("op",)))
+        first = spark.createDataFrame([("a", 1, "PUT", 1, "f"), ("b", 1, "PUT", 1, "f")], SCHEMA)
+        target.upsert(first)
+        target.declare(f"named.t{scd_type}", "it's a table", {"quality": "silver"})
+        target.upsert(spark.createDataFrame([("a", 2, "DELETE", 0, "f")], SCHEMA))
+        target.upsert(first)  # a repeated batch changes nothing
+        target.declare(f"named.t{scd_type}", "it's a table", {"quality": "silver"})
+        other = spark.newSession()
+        assert as_tuples(other.table(f"named.t{scd_type}")) == sorted(want, key=repr) == as_tuples(target.read())
+        about = {r.col_name: r.data_type for r in other.sql(f"DESCRIBE TABLE EXTENDED named.t{scd_type}").collect()}
+        assert about["Comment"] == "it's a table" and "quality=silver" in about["Table Properties"]
+
+
 def test_new_columns_and_composite_bucket(spark, tmp_path):
     target = KeyedTarget(
         spark, str(tmp_path), ChangeSpec(keys=("k", "src"), sequence_by="seq", bucket_keys=("k",), buckets=3)

@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 from strata.functions import cast_columns, explode_items, flatten_struct, surrogate_key
 from strata.operators import (
     asof_left_join,
+    asof_ordered,
     current_versions,
     expect_all_or_drop,
     get_rules,
+    observe_rules,
+    observed_metrics,
     quarantine,
     rule_metrics,
     rules_by_tag,
@@ -19,7 +22,7 @@ from strata.operators import (
     scd2,
 )
 from strata.plans import join_header, sales_facts, sales_summary
-from strata.session import scratch_path
+from strata.session import scratch_path, written
 from strata.conf import PipelineConf
 from strata.sources import create_layers, preview, register_table, replace_table, use_schema
 from workload.roles import (
@@ -138,6 +141,13 @@ def event_rule_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_metrics(_events_with_gaps(spark, sf_dir), EVENT_RULES)
 
 
+def rule_metrics_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counted while the rows that hold are written."""
+    rows, seen = observe_rules(_events_with_gaps(spark, sf_dir), EVENT_RULES)
+    expect_all_or_drop(rows, EVENT_RULES).write.parquet(scratch_path(spark, "valid-events"))
+    return observed_metrics(spark, seen, EVENT_RULES)
+
+
 def rule_like(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return expect_all_or_drop(pages, {"secure": "url LIKE 'https://%.%'"})
@@ -261,21 +271,33 @@ def scd2_heavy_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def scd2_heavy_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One key holds most events, its sequence is text, and a fifth of it lies on one sentinel date."""
+    moment = "concat(if(event_id % 5 = 0, '9999-12-31', date_format(ts, 'yyyy-MM-dd HH:mm:ss.SSSSSS')), ' ', lpad(event_id, 12, '0'))"
+    events = _events(spark, sf_dir).selectExpr(
+        "event_id", f"{moment} AS moment", "if(event_type IN ('click', 'view', 'purchase'), -1, user_id) AS user_id", "event_type"
+    )
+    return scd2(events, EVENT_KEYS, "moment", _TIES, apply_as_deletes=EVENT_DELETE, track_columns=["event_type"], rows_per_slice=500)
+
+
 def header_detail_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = sale_lines(spark, sf_dir).select(*LINE_KEYS, "product_id", "l_suppkey", "line_total")
     headers = sale_headers(spark, sf_dir)
     return join_header(lines, headers, ["transaction_id"], ["customer_id", "payment_type", "total_amount"])
 
 
-def asof_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every line with the customer version valid on its ship date."""
+def _owned_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").selectExpr(
         "l_orderkey AS transaction_id", "l_linenumber", "l_partkey", "CAST(l_shipdate AS DATE) AS ship_date"
     )
     owners = table(spark, sf_dir, "orders").selectExpr("o_orderkey AS transaction_id", "o_custkey")
-    owned = join_header(lines, owners, ["transaction_id"], ["o_custkey"])
+    return join_header(lines, owners, ["transaction_id"], ["o_custkey"])
+
+
+def asof_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line with the customer version valid on its ship date."""
     out = asof_left_join(
-        owned,
+        _owned_lines(spark, sf_dir),
         customer_history(spark, sf_dir),
         {"o_custkey": "customer_id"},
         "ship_date",
@@ -285,6 +307,23 @@ def asof_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("ship_date", day("ship_date"))
 
 
+def asof_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, by one ordered pass over lines and versions."""
+    columns = {"dim_customer_key": "dim_customer_key", "priority": "priority"}
+    out = asof_ordered(_owned_lines(spark, sf_dir), customer_history(spark, sf_dir), {"o_custkey": "customer_id"}, "ship_date", columns, unknown="-1")
+    return out.withColumn("ship_date", day("ship_date"))
+
+
+def asof_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event of a user with the order that was the latest at its time, where all users share one history: one key, as
+    many versions as there are moments of orders, dealt to ranges."""
+    orders = table(spark, sf_dir, "orders").selectExpr("1 AS shop", "o_orderdate AS since", "o_orderkey")
+    history = written(scd2(orders, ["shop"], "since", ["o_orderkey"], rows_per_slice=1000), "shop-history")
+    events = _events(spark, sf_dir).selectExpr("event_id", "1 AS shop", "ts")
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return asof_ordered(events, history, ["shop"], "ts", {"o_orderkey": "latest_order"}, ranges=ranges).select("event_id", "latest_order")
+
+
 def _facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sales_facts(current_lines(spark, sf_dir), sale_headers(spark, sf_dir), dimensions(spark, sf_dir))
 
@@ -321,6 +360,7 @@ QUERIES = {
     "expect_all_or_drop": drop_invalid_events,
     "quarantine": quarantine_events,
     "rule_metrics": event_rule_metrics,
+    "rule_metrics_observed": rule_metrics_observed,
     "rule_like": rule_like,
     "rule_rlike": rule_rlike,
     "rules_table": rules_table,
@@ -335,8 +375,11 @@ QUERIES = {
     "scd2_delete": scd2_delete,
     "scd2_track": scd2_track,
     "scd2_heavy_key": scd2_heavy_key,
+    "scd2_heavy_text": scd2_heavy_text,
     "header_detail_join": header_detail_join,
     "asof_join": asof_join,
+    "asof_ordered": asof_in_order,
+    "asof_hot_key": asof_hot_key,
     "fact_asof_join": fact_asof_join,
     "sales_summary": summary,
 }

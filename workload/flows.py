@@ -12,11 +12,11 @@ from pyspark.sql import functions as F
 
 from strata.functions import cast_columns
 from strata.operators import asof_left_join
-from strata.plans import join_header, recompute_facts
-from strata.session import scratch_path
+from strata.plans import MaintainedSummary, join_header, recompute_facts
+from strata.session import scratch_path, written
 from strata.sources import Landing, SchemaStore, bronze_frame, bronze_stream, ingest
-from strata.streaming import ChangeSpec, KeyedTarget, append_flow, cdc_flow, run_available
-from workload.batch import comparable_facts, day
+from strata.streaming import Bounds, ChangeSpec, KeyedTarget, append_flow, cdc_flow, join_header_stream, run_available, run_join
+from workload.batch import comparable_facts, day, fact_asof_join
 from workload.roles import (
     EVENT_DELETE,
     EVENT_KEYS,
@@ -226,7 +226,8 @@ def append_only_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_join_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two streams joined on the transaction, then to stored history, in one append-mode query.
 
-    For input that ends. A join of endless streams keeps every row as state: there ``recompute_facts`` is the way.
+    For input that ends, because it keeps every row as state. For streams without end: ``header_detail_stream``, or
+    ``recompute_facts`` where times are not known to be near each other.
     """
     root = scratch_path(spark, "joined")
     lines = _streamed(spark, sale_lines(spark, sf_dir).select(*LINE_KEYS, "product_id", "l_suppkey", "line_total"), "product_id")
@@ -240,6 +241,66 @@ def stream_join_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.withColumn("transaction_date", day("transaction_date"))
 
 
+SLICES = 5
+
+
+def _in_time_order(spark: SparkSession, df: DataFrame, at: str, borders: list[float]) -> DataFrame:
+    """The rows as a stream whose micro-batches follow each other in time."""
+    files, path = int(spark.conf.get("spark.sql.shuffle.partitions")), scratch_path(spark, "timed")
+    place = F.lit(0)
+    for border in borders:
+        place = place + (F.unix_timestamp(at) > border).cast("int")
+    for number in range(len(borders) + 1):
+        df.where(place == number).repartition(files).write.mode("append").parquet(path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(path)
+
+
+def header_detail_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines and orders as two streams that go on, joined with bounded state."""
+    orders = table(spark, sf_dir, "orders").selectExpr("o_orderkey", "o_custkey", "o_totalprice AS total_amount", "CAST(o_orderdate AS TIMESTAMP) AS sold_at")
+    orders = orders.join(table(spark, sf_dir, "customer").selectExpr("c_custkey AS o_custkey"), "o_custkey")
+    orders = written(orders.selectExpr("o_orderkey AS transaction_id", "o_custkey AS customer_id", "total_amount", "sold_at"), "orders")
+    lines = sale_lines(spark, sf_dir).select(*LINE_KEYS, "product_id", "l_suppkey", "line_total").join(orders.select("transaction_id", "sold_at"), "transaction_id")
+    borders = orders.select(F.unix_timestamp("sold_at").alias("t")).approxQuantile("t", [k / SLICES for k in range(1, SLICES)], 0.01)
+    root, bounds = scratch_path(spark, "timed-join"), Bounds("sold_at", "1 day", "30 days")
+    joined = join_header_stream(
+        _in_time_order(spark, lines, "sold_at", borders), _in_time_order(spark, orders, "sold_at", borders), ["transaction_id"], ["customer_id", "total_amount"], bounds
+    )
+    run_join(joined, f"{root}/out", f"{root}/checkpoint")
+    return spark.read.schema(joined.schema).parquet(f"{root}/out").drop("sold_at")
+
+
+def summary_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary after three batches: facts with wrong amounts and facts that never were; the amounts put right; the false
+    facts gone and the rest come. The last batch comes twice."""
+    facts = written(fact_asof_join(spark, sf_dir), "facts")
+    summary = MaintainedSummary(spark, scratch_path(spark, "summary"), buckets=16)
+    early, wrong = facts.where("line_item_id % 3 <> 0"), F.col("line_item_id") == 1
+    doubled = F.when(wrong, F.col("line_total") * 2 + 0.1).otherwise(F.col("line_total"))
+    false = facts.where("line_item_id = 2").withColumn("transaction_id", -F.col("transaction_id") - 1)
+    summary.update(facts.limit(0), early.withColumn("line_total", doubled).unionByName(false), ("facts", 0))
+    summary.update(early.where(wrong).withColumn("line_total", doubled), early.where(wrong), ("facts", 1))
+    for _ in range(2):
+        summary.update(false, facts.where("line_item_id % 3 = 0"), ("facts", 2))
+    return summary.read()
+
+
+def named_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A silver and a gold table, upserted twice and once more with the same rows, then read by name from another session."""
+    root, events = scratch_path(spark, "named"), table(spark, sf_dir, "events")
+    spark.sql("CREATE SCHEMA IF NOT EXISTS strata_named")
+    spec = replace(_EVENT_SPEC, apply_as_deletes=EVENT_DELETE)
+    for name, kind in (("users", spec), ("user_history", replace(spec, scd_type=2, except_columns=("props",)))):
+        target = KeyedTarget(spark, f"{root}/{name}", kind)
+        for part in ("event_id % 2 = 0", "event_id % 2 = 1", "event_id % 2 = 0"):
+            target.upsert(events.where(part))
+        target.declare(f"strata_named.{name}", f"{name} from events", {"quality": "test"})
+    return spark.newSession().sql(
+        "SELECT h.user_id, count(*) AS versions, max(u.event_id) AS current_event FROM strata_named.user_history h"
+        " LEFT JOIN strata_named.users u ON u.user_id = h.user_id GROUP BY h.user_id"
+    )
+
+
 _EVENT_SPEC = ChangeSpec(tuple(EVENT_KEYS), EVENT_SEQUENCE, tie_break=("event_id",), buckets=8)
 
 
@@ -336,6 +397,9 @@ QUERIES = {
     "silver_misfits": silver_misfits,
     "append_only_table": append_only_table,
     "stream_join_append": stream_join_append,
+    "header_detail_stream": header_detail_stream,
+    "summary_incremental": summary_incremental,
+    "named_targets": named_targets,
     "incremental_scd1": incremental_scd1,
     "incremental_scd2": incremental_scd2,
     "scd1_out_of_order": scd1_out_of_order,

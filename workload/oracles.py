@@ -64,6 +64,12 @@ _HEAVY = (
     " FROM events)"
 )
 
+_HEAVY_TEXT = (
+    "(SELECT event_id, concat(CASE WHEN event_id % 5 = 0 THEN '9999-12-31' ELSE strftime(ts, '%Y-%m-%d %H:%M:%S.%f') END, ' ',"
+    " lpad(CAST(event_id AS VARCHAR), 12, '0')) AS ts,"
+    " CASE WHEN event_type IN ('click', 'view', 'purchase') THEN -1 ELSE user_id END AS user_id, event_type FROM events)"
+)
+
 _CUSTOMERS = (
     "cust AS (SELECT customer_id, priority, d, lead(d) OVER (PARTITION BY customer_id ORDER BY d) AS e,"
     " sha256(concat_ws('||', CAST(customer_id AS VARCHAR), CAST(d AS VARCHAR))) AS k FROM"
@@ -166,6 +172,7 @@ ORACLES = {
     "scd2_heavy_key": _tracked(
         _HEAVY, "event_type", "event_id, ts, user_id, event_type", " WHERE event_type <> 'error'"
     ),
+    "scd2_heavy_text": _tracked(_HEAVY_TEXT, "event_type", "event_id, ts AS moment, user_id, event_type", " WHERE event_type <> 'error'"),
     "header_detail_join": (
         "SELECT l_orderkey AS transaction_id, l_linenumber AS line_item_id, l_partkey AS product_id, l_suppkey,"
         " l_extendedprice AS line_total, o_custkey AS customer_id, o_orderpriority AS payment_type,"
@@ -178,6 +185,10 @@ ORACLES = {
         " coalesce(k, '-1') AS dim_customer_key, coalesce(priority, '-1') AS priority FROM x LEFT JOIN cust"
         " ON customer_id = o_custkey AND x.d >= cust.d AND x.d < coalesce(e, DATE '9999-12-31')"
     ),
+    "asof_hot_key": (
+        "WITH v AS (SELECT o_orderdate AS d, max(o_orderkey) AS o_orderkey FROM orders GROUP BY 1)"
+        " SELECT event_id, o_orderkey AS latest_order FROM events ASOF LEFT JOIN v ON ts >= d"
+    ),
     "fact_asof_join": _FACTS + " SELECT * FROM f",
     "sales_summary": (
         _FACTS + " SELECT transaction_id, transaction_date, dim_customer_key, dim_location_key, dim_product_key,"
@@ -243,3 +254,13 @@ ORACLES = {
         " AND event_type <> 'error'"
     ),
 }
+
+# Other ways to the same results.
+ORACLES["asof_ordered"] = ORACLES["asof_join"]
+ORACLES["header_detail_stream"] = ORACLES["header_detail_join"].replace(", o_orderpriority AS payment_type", "")
+ORACLES["rule_metrics_observed"] = ORACLES["rule_metrics"]
+ORACLES["summary_incremental"] = ORACLES["sales_summary"]
+ORACLES["named_targets"] = (
+    "WITH current AS (" + ORACLES["scd1_delete"] + "), history AS (" + ORACLES["incremental_scd2"] + ")"
+    " SELECT h.user_id, count(*) AS versions, max(c.event_id) AS current_event FROM history h LEFT JOIN current c ON c.user_id = h.user_id GROUP BY 1"
+)
