@@ -41,7 +41,8 @@ def event_order(
 ) -> list[Column]:
     """(sequence, tie-break columns, row hash): the same total order in every batch and arrival order.
 
-    Without an explicit ``tie_break`` the source file decides between events of equal sequence, if it is known.
+    Without an explicit ``tie_break`` the source file decides between events of equal sequence, if it is known: the one
+    modified last, of equally old ones the last by name.
     """
     return [_col(sequence_by), *[F.col(c) for c in _ties(df, tie_break)], row_hash(df)]
 
@@ -59,7 +60,7 @@ def order_columns(
 def _ties(df: DataFrame, tie_break: Sequence[str] | None) -> Sequence[str]:
     if tie_break is not None:
         return tie_break
-    return ["file_name"] if "file_name" in df.columns else []
+    return [c for c in ("file_modified", "file_name") if c in df.columns]
 
 
 def _col(c: str | Column) -> Column:

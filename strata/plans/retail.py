@@ -49,8 +49,9 @@ _LINE_FIELDS = ("line_item_id", "product_id", "quantity", "unit_price", "discoun
 _LINE_ITEMS = (
     "array<struct<line_item_id:bigint,product_id:string,quantity:bigint,unit_price:double,discount_pct:double,line_total:double>>"
 )
+_FILE = ("file_modified", "file_name")
 _DATES = {"created_date": "date", "modified_date": "date"}
-_INTERNAL = ("_rescued_data", "ingestion_ts", "ingest_batch")
+_INTERNAL = ("_rescued_data", "ingestion_ts", "file_modified", "ingest_batch")
 
 
 @dataclass(frozen=True)
@@ -86,7 +87,7 @@ DATASETS = {
             structs=("address",),
             silver_sequence="operation_date",
             silver_deletes="operation = 'DELETE'",
-            except_columns=("operation", "operation_date"),
+            except_columns=("operation", "operation_date", "file_modified"),
             dimension_key="dim_customer_key",
         ),
         Dataset("departments", "dept_id", dimension_key="dim_department_key"),
@@ -126,7 +127,8 @@ _FACT_DIMENSIONS = (("employees", True), ("customers", True), ("location", True)
 class RetailStore:
     """The flows of one deployment."""
 
-    def __init__(self, spark: SparkSession, conf: PipelineConf, rules: DataFrame | None = None):
+    def __init__(self, spark: SparkSession, conf: PipelineConf, rules: DataFrame | str | None = None):
+        """``rules`` is a catalogue, or the name of the table that holds it, which is read whenever a flow runs."""
         self.spark, self.conf = spark, conf
         self.rules = rules if rules is not None else rules_frame(spark, RULES)
 
@@ -141,7 +143,10 @@ class RetailStore:
     def silver(self, name: str) -> KeyedTarget:
         if name == "sale_details":
             spec = ChangeSpec(
-                ("transaction_id", "line_item_id"), "modified_date", bucket_keys=("transaction_id",)
+                ("transaction_id", "line_item_id"),
+                "modified_date",
+                except_columns=_FILE,
+                bucket_keys=("transaction_id",),
             )
         else:
             d = DATASETS[name]
@@ -199,7 +204,7 @@ class RetailStore:
         self._cdc(name, name, self.silver(name), f"silver_{name}", shape)
 
     def load_sale_details(self) -> None:
-        carry = ["transaction_id", "location_id", "created_date", "modified_date"]
+        carry = ["transaction_id", "location_id", "created_date", "modified_date", *_FILE]
 
         def lines(df: DataFrame) -> DataFrame:
             items = explode_items(df, "line_items", carry, _LINE_FIELDS)
@@ -307,7 +312,8 @@ class RetailStore:
     ) -> None:
         """``dataset`` names the silver table whose rules apply; None applies no rules."""
         pipeline = "sales-etl" if source == "sales" else f"{source}-etl"
-        rules = get_rules(self.rules, pipeline, f"silver_{dataset}") if dataset else {}
+        catalogue = self.spark.read.table(self.rules) if isinstance(self.rules, str) else self.rules
+        rules = get_rules(catalogue, pipeline, f"silver_{dataset}") if dataset else {}
         aside = self.conf.table("quarantine", flow)
         cdc_flow(self._stream(source), target, self.conf.checkpoint(flow), transform, rules, aside, DATASETS[source].types)
 
@@ -327,4 +333,5 @@ class RetailStore:
 
 def _shape(d: Dataset, df: DataFrame) -> DataFrame:
     flat = cast_columns(flatten_struct(df, *d.structs), d.types)
-    return flat.select(*d.columns) if d.columns else flat
+    # The file's time decides between events of one day; it does not leave the table.
+    return flat.select(*d.columns, "file_modified") if d.columns else flat

@@ -28,6 +28,7 @@ LINEAGE = T.StructType(
         T.StructField(RESCUED, T.StringType()),
         T.StructField("ingestion_ts", T.TimestampType()),
         T.StructField("file_name", T.StringType()),
+        T.StructField("file_modified", T.TimestampType()),
     ]
 )
 _LISTING = "path string, modificationTime timestamp, length long, content binary"
@@ -274,7 +275,7 @@ def _typed(raw: DataFrame, schema: T.StructType, observed: T.StructType) -> Data
             values.append(value.alias(f.name))
             lost.append(F.when(column.isNotNull() & ~fits, column).alias(f.name))
     rescued = F.when(F.coalesce(*lost).isNotNull(), F.to_json(F.struct(*lost)))
-    return raw.select(*values, rescued.alias(RESCUED), "ingestion_ts", "file_name")
+    return raw.select(*values, rescued.alias(RESCUED), "ingestion_ts", "file_name", "file_modified")
 
 
 def _fit(text: Column, wanted: T.DataType, seen: T.DataType | None) -> tuple[Column, Column]:
@@ -310,7 +311,10 @@ def _options(landing: Landing) -> dict[str, str]:
 def _with_lineage(df: DataFrame) -> DataFrame:
     data = [F.col(f"`{c}`") for c in df.columns]
     return df.select(
-        *data, F.current_timestamp().alias("ingestion_ts"), F.col("_metadata.file_path").alias("file_name")
+        *data,
+        F.current_timestamp().alias("ingestion_ts"),
+        F.col("_metadata.file_path").alias("file_name"),
+        F.col("_metadata.file_modification_time").alias("file_modified"),
     )
 
 

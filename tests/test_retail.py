@@ -1,5 +1,6 @@
 import csv
 import json
+import os
 
 import pytest
 
@@ -189,3 +190,27 @@ def test_conf_from_session(spark):
     conf = PipelineConf.from_session(spark, table_path="/t", checkpoint_path="/c")
     assert (conf.source_path, conf.buckets, conf.table("gold", "x")) == ("/s", 7, "/t/gold/x")
     spark.conf.unset("buckets")
+
+
+def test_later_file_of_a_day_wins_and_rules_come_from_their_table(spark, tmp_path):
+    from strata.operators import rules_frame
+    from strata.plans import RULES
+    from strata.sources import replace_table
+
+    shop = Shop(tmp_path)
+    replace_table(rules_frame(spark, RULES), "shop_rules", f"{tmp_path}/rules")
+    store = RetailStore(spark, shop.conf, "shop_rules")
+
+    def deliver(number, city):
+        shop.csv(f"location/{number}.csv", [{"location_id": "l1", "city": city, **dates("2024-01-01")}, {"location_id": "", "city": city, **dates("2024-01-01")}])
+        os.utime(tmp_path / "raw" / "location" / f"{number}.csv", (1.7e9 + number, 1.7e9 + number))
+        store.load_bronze("location")
+        store.load_silver("location")
+        return rows(store.silver("location").read(), "location_id", "city")
+
+    assert deliver(9, "nine") == [("l1", "nine")]
+    assert deliver(10, "ten") == [("l1", "ten")]  # by name alone 9 would come after 10
+    assert "file_modified" not in store.silver("location").read().columns
+    loose = [(*r[:3], "true", r[4]) if r[1] == "silver_location" else r for r in RULES]
+    replace_table(rules_frame(spark, loose), "shop_rules", f"{tmp_path}/rules2")
+    assert deliver(11, "eleven") == [("l1", "eleven"), (None, "eleven")]

@@ -368,7 +368,7 @@ def bronze_to_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ts",
         tie_break=("event_id",),
         apply_as_deletes=EVENT_DELETE,
-        except_columns=("_rescued_data", "ingestion_ts", "file_name", "ingest_batch"),
+        except_columns=("_rescued_data", "ingestion_ts", "file_name", "file_modified", "ingest_batch"),
         buckets=8,
     )
     target = KeyedTarget(spark, f"{landed.root}/silver", spec)
