@@ -11,6 +11,7 @@ import html
 import re
 from collections import Counter
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -21,14 +22,13 @@ from strata.llm.common import arrow_map, positional, stored, with_columns
 # A path wins on a host with at least this share of its votes, so there are at most ten.
 SHARE = 0.1
 
-# A tag with more than 200 attributes (and as many gaps) is read as text, so that no start of one is read on for ever.
-# Elements nested deeper than this are no containers; their text counts for the one around them.
-DEPTH = 100
+# A path longer than this goes on from a digest of it, so deep nesting costs no more than flat.
+LONG_PATH = 400
 
 TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)"""
     r"""|<(script|style|noscript|template|iframe|svg|textarea|title|select|object|math|noembed|noframes)\b(?:"[^"]*+"|'[^']*+'|[^'">])*+>.*?(?:</\1\s*+>|\Z)"""
-    r"""|<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|[^\s/>=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"']?[^\s>]*+))?+|=){0,400}+)>"""
+    r"""|<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|[^\s/>=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"']?[^\s>]*+))?+|=)*+)>"""
     r"""|<[!?/][^>]*+>""",
     re.S | re.I,
 )
@@ -64,14 +64,16 @@ GOOD_WORDS = frozenset("article post entry content main story text body".split()
 
 
 class Node:
-    __slots__ = ("container", "depth", "good", "noise", "own", "parent", "path", "score", "soft", "tag")
+    __slots__ = ("container", "good", "linked", "near", "noise", "own", "parent", "path", "score", "soft", "tag")
 
     def __init__(self, tag: str, parent: Node | None, path: str, noise: bool) -> None:
         self.tag, self.parent, self.path, self.noise, self.score = tag, parent, path, noise, 0.0
         # Noise by words or as a form alone, and noise of its own that holds whatever is inside.
         self.soft = self.own = self.good = False
-        self.depth = parent.depth + 1 if parent is not None else 0
-        self.container = tag in CONTAINERS and self.depth <= DEPTH
+        self.container = tag in CONTAINERS
+        # The nearest container, this one or around it, and whether a link lies on the way.
+        self.near: Node | None = self if self.container else parent.near if parent is not None else None
+        self.linked = not self.container and (tag == "a" or (parent is not None and parent.linked))
 
 
 def _open(tag: str, attributes: str, parent: Node) -> Node:
@@ -94,7 +96,9 @@ def _open(tag: str, attributes: str, parent: Node) -> Node:
         if tag not in ("html", "body", "article", "main") or "comment" in words or "comments" in words:
             soft |= not NOISE_WORDS.isdisjoint(words)
     # Pages may leave out html and body, so paths begin behind them.
-    path = parent.path if tag in ("html", "body") or parent.depth >= DEPTH else f"{parent.path}/{name}"
+    path = parent.path if tag in ("html", "body") else f"{parent.path}/{name}"
+    if len(path) > LONG_PATH:
+        path = "#" + blake2b(path.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
     node = Node(tag, parent, path, noise or soft or parent.noise)
     node.soft, node.own, node.good = soft and not noise, noise, not GOOD_WORDS.isdisjoint(words)
     if node.container:
@@ -221,16 +225,10 @@ def best_container(page: str) -> str | None:
         size = len(text) - text.count(" ") * 0.1
         if size < 2:
             continue
-        weight = 1.0
-        while node is not None and not node.container:
-            if node.tag == "a":
-                weight = -1.0
-            node = node.parent
+        weight, node = (-1.0 if node.linked else 1.0), node.near
         if node is not None:
             node.score += weight * size
-            outer = node.parent
-            while outer is not None and not outer.container:
-                outer = outer.parent
+            outer = node.parent.near
             if outer is not None:
                 outer.score += weight * size / 2
     found = [n for n in nodes if n.container and not n.noise and n.score > 0]

@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import random
+import time
 import zlib
 
 import numpy as np
@@ -487,3 +488,17 @@ def test_fullest_fillings_first():
             used[length] += n * k
     assert used == counts
     assert sum(n for n, _ in runs) == packing.least_sequences(dict(counts), 2048)
+
+
+def test_pages_with_very_many_attributes_or_levels():
+    words = "Some good words of the article, and more of them."
+    many = " ".join(f"a{k}=1" for k in range(1000))
+    page = f"<article><p>{words}</p><p {many}>{words}</p></article>"
+    assert extraction.main_text(page, []) == f"{words}\n\n{words}"
+    deep = "<div class='nav'>Menu</div>" + "<div>" * 300 + f"<div class='entry'><p>{words}</p></div>" + "</div>" * 300
+    path = extraction.best_container(deep)
+    assert extraction.main_text(deep, [path]) == words and extraction.best_container(deep.replace("entry", "other")) != path
+    began = time.process_time()
+    page = f"<article><p>{words}</p>" + "<b>some words " * 100_000 + "</article>"
+    assert extraction.best_container(page) and len(extraction.main_text(page, [])) > 1_000_000
+    assert time.process_time() - began < 10
