@@ -177,20 +177,18 @@ def possible_pairs(rows: list[tuple], cross: bool, percent: int, limit: float) -
     return pairs[1:, np.argsort(pairs[0], kind="stable")]
 
 
-def linked_in_block(key: int, rows: list[tuple], cross: bool, words: int, percent: int, limit: float) -> list[tuple[int, int]]:
-    """Links that connect the nodes ``(block, node, root, n, bits, keys, text)`` of a band wherever pairs of them are alike."""
+def linked_in_block(rows: list[tuple], cross: bool, words: int, percent: int, limit: float) -> list[tuple[int, int]]:
+    """Links that connect the nodes ``(block, node, root, n, bits, text)`` of a band wherever pairs of them are alike."""
     group, sets, out = _Group(), {}, []
 
     def shingled(k: int) -> set[bytes]:
         if k not in sets:
-            sets[k] = shingles(rows[k][6], words)
+            sets[k] = shingles(rows[k][5], words)
         return sets[k]
 
     for i, j in possible_pairs(rows, cross, percent, limit).T.tolist():
         x, y = group.find(rows[i][2]), group.find(rows[j][2])
-        if x == y or next(a for a, b in zip(rows[i][5], rows[j][5], strict=True) if a == b) != key:
-            continue
-        if alike(shingled(i), shingled(j), percent):
+        if x != y and alike(shingled(i), shingled(j), percent):
             group[max(x, y)] = min(x, y)
             out.append((rows[i][1], rows[j][1]))
     return out
@@ -228,21 +226,26 @@ def block_links(placed: DataFrame, candidates: DataFrame, words: int, percent: i
 
     def narrow(batches):
         for (key, one, other), rows in units(batches):
-            some = np.unique(possible_pairs(rows, one != other, percent, limit)).tolist()
-            kept = [(key, one, other, *rows[k][:3]) for k in some]
+            pairs = possible_pairs(rows, one != other, percent, limit)
+            all_keys = np.asarray([r[5] for r in rows], np.int64)
+            some = set()
+            for part in (pairs[:, k : k + (1 << 14)] for k in range(0, pairs.shape[1], 1 << 14)):
+                same = all_keys[part[0]] == all_keys[part[1]]
+                some.update(part[:, all_keys[part[0], same.argmax(axis=1)] == key].ravel().tolist())
+            kept = [(key, one, other, *rows[k][:3]) for k in sorted(some)]
             columns = zip(*kept, strict=True) if kept else [[]] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
 
     def run(batches):
-        for (key, one, other), rows in units(batches):
-            found = linked_in_block(key, rows, one != other, words, percent, limit)
+        for (_, one, other), rows in units(batches):
+            found = linked_in_block(rows, one != other, words, percent, limit)
             yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], ["a", "b"])
 
-    # Texts go only where a node has a partner that may be like it.
+    # Texts go only where a node has a partner that may be like it, and that it meets in no band before.
     kinds, names = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64()], [*order, "block", "node", "root"]
-    light = dealt.join(candidates.select("node", "n", "bits"), "node").select(*order, "block", "node", "root", "n", "bits")
+    light = dealt.join(candidates.select("node", "n", "bits", "keys"), "node").select(*order, "block", "node", "root", "n", "bits", "keys")
     needed = stored(arrow_map(together(light), narrow, "key bigint, one int, other int, block int, node bigint, root bigint"), "needed")
-    rows = needed.join(candidates.select("node", "n", "bits", "keys", "text"), "node").select(*order, "block", "node", "root", "n", "bits", "keys", "text")
+    rows = needed.join(candidates.select("node", "n", "bits", "text"), "node").select(*order, "block", "node", "root", "n", "bits", "text")
     return arrow_map(together(rows), run, "a bigint, b bigint")
 
 
@@ -290,8 +293,8 @@ def near_duplicates(
     full = all_rows.where("n > 0")
     # One node per set, numbered by one of its rows.
     nodes = stored(full.groupBy("same").agg(F.min(UID).alias("node"), F.min("id").alias("first")), "nodes")
-    chosen = nodes.select(F.col("node").alias(UID))
-    own = full.join(chosen, UID, "left_semi")
+    chosen = stored(nodes.select(F.col("node").alias(UID)), "chosen")
+    own = stored(full.select(UID, "keys").join(chosen, UID, "left_semi"), "own")
     index = own.select(F.col(UID).alias("node"), F.posexplode("keys").alias("pos", "key"))
     shared = stored(index.groupBy("key").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("key"), "shared")
     listed = stored(index.join(shared, "key", "left_semi").select("key", "pos", "node"), "listed")
