@@ -45,7 +45,12 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
+    """All stages over ``documents``.
+
+    NULL texts count as empty and are documents like any other, as are empty and very long texts. Of repeated rows one
+    stays (they are exact duplicates); of equal near-duplicates the smallest id stays, NULL last. Columns pass through all
+    stages but the last whatever their names. An empty table gives an empty result.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
