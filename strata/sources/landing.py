@@ -11,6 +11,7 @@ import csv
 import datetime as dt
 import re
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 from urllib.parse import unquote
@@ -36,6 +37,8 @@ _LISTING = "path string, modificationTime timestamp, length long, content binary
 
 # The file source leaves out files that are a week older than the newest one, unless told otherwise.
 NO_AGE = "36500d"
+# Files whose header is read at a time.
+_OPENERS = 16
 
 
 @dataclass(frozen=True)
@@ -190,21 +193,37 @@ def _read_csv(
 
 
 def _layouts(spark: SparkSession, landing: Landing, paths: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
-    """{column names: files} of a micro-batch."""
-    lines = (
-        _load(spark.read.format("text"), paths)
-        .select("value", F.col("_metadata.file_path").alias("file"), "_metadata.file_block_start")
-        .where("file_block_start = 0 AND trim(value) <> ''")
-        .withColumn("line", F.monotonically_increasing_id())
-    )
-    headers = lines.groupBy("file").agg(F.min_by("value", "line").alias("header"))
+    """{column names: files} of a micro-batch. Files without any line that is not blank are left out.
+
+    Of every file only the beginning is opened, from several threads, because a store answers slowly but in parallel.
+    """
+    with ThreadPoolExecutor(_OPENERS) as pool:
+        headers = list(pool.map(lambda p: _first_line(spark, p, landing.options.get("encoding", "UTF-8")), paths))
     layouts: dict[tuple[str, ...], list[str]] = {}
-    for row in headers.orderBy("file").collect():
-        names = next(csv.reader([row.header.lstrip("\ufeff")], delimiter=landing.options.get("sep", ",")))
-        layouts.setdefault(_unique(names), []).append(unquote(row.file))
+    for path, header in sorted(zip(paths, headers)):
+        if header is not None:
+            names = next(csv.reader([header.lstrip("\ufeff")], delimiter=landing.options.get("sep", ",")))
+            layouts.setdefault(_unique(names), []).append(path)
     return layouts
 
 
+def _first_line(spark: SparkSession, path: str, encoding: str) -> str | None:
+    """The first line of a file, compressed or not, that is not blank."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    name = jvm.org.apache.hadoop.fs.Path(path)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(name)
+    stream = name.getFileSystem(conf).open(name)
+    try:
+        content = codec.createInputStream(stream) if codec else stream
+        lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(content, encoding))
+        while (line := lines.readLine()) is not None:
+            if line.strip():
+                return line
+        return None
+    finally:
+        stream.close()
+
+
 def _unique(names: Sequence[str]) -> tuple[str, ...]:
     """Empty names and those repeated in any case get their position."""
     clean = [n.strip() for n in names]

@@ -1,4 +1,5 @@
 import datetime as dt
+import gzip
 import json
 import os
 
@@ -40,6 +41,15 @@ def test_csv_strings_files_read_once(spark, tmp_path):
     assert out.where("file_name LIKE '%c.csv' AND ingestion_ts IS NOT NULL AND ingest_batch = 2").count() == 1
 
 
+def test_csv_headers_of_compressed_blank_led_and_marked_files(spark, tmp_path):
+    site = Site(spark, tmp_path, format="csv")
+    site.drop("a.csv", "\n  \nid,name\n1,x\n")
+    site.drop("b.csv", "\ufeffid,name\r\n2,y\r\n")
+    site.drop("blank.csv", "\n \n")
+    (tmp_path / "in" / "c.csv.gz").write_bytes(gzip.compress(b"name,id\nz,3\n"))
+    assert values(site.run(), "id", "name") == [("1", "x"), ("2", "y"), ("3", "z")]
+
+
 def test_csv_new_column_in_the_middle_and_missing_column(spark, tmp_path):
     site = Site(spark, tmp_path, format="csv")
     site.drop("a.csv", "id,name\n1,x\n")
