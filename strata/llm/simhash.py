@@ -1,9 +1,11 @@
 """Near-duplicates by SimHash, found through an inverted index over byte positions with count filtering.
 
 A fingerprint has eight bytes. If two differ in at most `d` bits they agree in at least `8 - d` bytes: with four bits, in
-four. The index holds every fingerprint under sets of four positions with the bytes found there, so each pair that
-agrees in four bytes meets; the shared positional bytes of a pair are tallied from the pair itself, pairs below the
-guaranteed number are dropped, each pair is kept under the first set that it shares, and the bits are verified.
+four. Lists of a single byte at a position would each hold a 256th of all fingerprints, so the index lists them under the
+bytes at sets of positions, one position fewer than are guaranteed: for four bits under 56 sets of three. Pairs that meet
+in a list share at least three bytes; the shared positional bytes of each are tallied, pairs below the guaranteed number
+are dropped (most of those that meet by chance share three only), each pair is kept under the first set that it shares,
+and the bits are verified.
 
 Fingerprints are indexed once however many documents have them. A posting list that is long (many fingerprints close to
 each other) is not turned into pairs: each of its fingerprints is listed under every value within half the distance, and
@@ -25,7 +27,7 @@ from strata.llm.components import components
 
 BYTES, BITS, SEED = 8, 64, 42
 # Posting lists longer than this go by half-way values. A member of such a list costs 2081 shuffled rows; as one of n in
-# each of 70 lists it costs 35 n comparisons, each about a tenth of a row, so lists of some hundreds are cheaper as pairs.
+# each of 56 lists it costs 28 n comparisons, each about a tenth of a row, so lists of some hundreds are cheaper as pairs.
 LONG_LIST = 512
 
 
@@ -70,36 +72,58 @@ def _byte(value: Column, position: int) -> Column:
     return F.shiftrightunsigned(value, 8 * position).bitwiseAND(F.lit(255))
 
 
-def links(fingerprints: DataFrame, max_bits: int = 4, long_list: int = LONG_LIST) -> DataFrame:
-    """``a, b``: links between the values of column ``fp`` (distinct, long) that connect all within ``max_bits`` bits."""
+def _sets(max_bits: int) -> list[tuple[int, ...]]:
+    """Sets of byte positions under which fingerprints are listed, in order."""
     if not 0 <= max_bits < BYTES:
         raise ValueError("a pair must be sure to share a byte: max_bits is 0 to 7")
-    need = BYTES - max_bits
-    sets = list(combinations(range(BYTES), need))
-    fp = F.col("fp")
-    # A key holds the bytes at a set of positions and, above them, the number of the set.
-    keys = [
-        reduce(Column.bitwiseOR, [F.shiftleft(_byte(fp, p), 8 * i) for i, p in enumerate(s)] + ([F.lit(k << 8 * need)] if k else []))
-        for k, s in enumerate(sets)
-    ]
+    return list(combinations(range(BYTES), max(BYTES - max_bits - 1, 1)))
+
+
+def _index(fingerprints: DataFrame, max_bits: int) -> DataFrame:
+    """``fp, key``: every fingerprint under the bytes at each set of positions, with the number of the set above them."""
+    keys, fp = [], F.col("fp")
+    for k, s in enumerate(_sets(max_bits)):
+        parts = [F.shiftleft(_byte(fp, p), 8 * i) for i, p in enumerate(s)]
+        # Sets of seven positions leave one byte for the number, which is enough: there are eight.
+        keys.append(reduce(Column.bitwiseOR, [*parts, F.lit(k << 8 * len(s))]))
     # Few bytes become many rows here, so the fingerprints are spread over all tasks before.
     tasks = int(fingerprints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    index = fingerprints.repartition(tasks, "fp").select("fp", F.explode(F.array(*keys)).alias("key"))
-    lists = stored(index.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "postings")
+    return fingerprints.repartition(tasks, "fp").select("fp", F.explode(F.array(*keys)).alias("key"))
 
-    listed = stored(index.join(lists.where(F.col("n") <= long_list).select("key"), "key"), "postings-short")
+
+def _agreement(a: Column, b: Column) -> list[Column]:
+    """Per position, whether both fingerprints have the same byte there."""
+    change = a.bitwiseXOR(b)
+    return [_byte(change, p) == 0 for p in range(BYTES)]
+
+
+def _tally(a: Column, b: Column) -> Column:
+    """The number of positional bytes that two fingerprints share."""
+    return reduce(Column.__add__, [c.cast("int") for c in _agreement(a, b)])
+
+
+def _met(listed: DataFrame, max_bits: int) -> DataFrame:
+    """``a, b``: all pairs that meet in a list, once each, under the first set that they share."""
+    sets = _sets(max_bits)
     x, y = listed.alias("x"), listed.alias("y")
     a, b = F.col("x.fp"), F.col("y.fp")
-    change = a.bitwiseXOR(b)
-    agree = [_byte(change, p) == 0 for p in range(BYTES)]
-    tally = reduce(Column.__add__, [c.cast("int") for c in agree])
-    # The first set that a pair shares is that of the first `need` positions where it agrees.
+    agree = _agreement(a, b)
     first = F.coalesce(*[F.when(reduce(Column.__and__, [agree[p] for p in s]), F.lit(k)) for k, s in enumerate(sets)])
-    pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (a < b) & (tally >= need) & (F.bit_count(change) <= max_bits))
-    if len(sets) > 1:
-        pairs = pairs.where(first == F.shiftrightunsigned(F.col("x.key"), 8 * need))
+    own = F.shiftrightunsigned(F.col("x.key"), 8 * len(sets[0]))
+    return x.join(y, (F.col("x.key") == F.col("y.key")) & (a < b)).where(first == own).select(a.alias("a"), b.alias("b"))
+
+
+def links(fingerprints: DataFrame, max_bits: int = 4, long_list: int = LONG_LIST) -> DataFrame:
+    """``a, b``: links between the values of column ``fp`` (distinct, long) that connect all within ``max_bits`` bits."""
+    index = _index(fingerprints, max_bits)
+    lists = stored(index.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "postings")
+
+    listed = stored(index.join(lists.where(F.col("n") <= long_list).select("key"), "key"), "postings-short")
+    a, b = F.col("a"), F.col("b")
+    counted = _met(listed, max_bits).where(_tally(a, b) >= BYTES - max_bits)
+    pairs = counted.where(F.bit_count(a.bitwiseXOR(b)) <= max_bits)
     crowded = index.join(lists.where(F.col("n") > long_list).select("key"), "key").select("fp").distinct()
-    return pairs.select(a.alias("a"), b.alias("b")).unionByName(_crowded_links(crowded, max_bits))
+    return pairs.unionByName(_crowded_links(crowded, max_bits))
 
 
 def _crowded_links(crowded: DataFrame, max_bits: int) -> DataFrame:

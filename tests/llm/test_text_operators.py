@@ -15,6 +15,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from pyspark.sql import functions as F
+
 from strata.llm import dedup, extraction, fingerprints, packing, pieces, simhash, token_counts, token_files, toxicity, vocab, warc
 from strata.llm.components import components
 from strata.session import scratch_path
@@ -233,6 +235,20 @@ def test_links_connect_all_within_the_distance(spark, max_bits, long_list):
     assert got == want
 
 
+def test_the_tally_drops_pairs_that_share_too_few_bytes(spark):
+    rng = random.Random(9)
+    base = rng.getrandbits(63)
+    # Each other value keeps a number of the base's bytes and changes all bits of the rest.
+    changed = lambda kept: base ^ sum(255 << 8 * p for p in range(8) if p not in kept)
+    values = {base: 8, **{changed(k): len(k) for n in (2, 3, 4, 5) for k in [tuple(rng.sample(range(8), n))]}}
+    signed = {v - (1 << 64) if v >> 63 else v: n for v, n in values.items()}
+    met = simhash._met(simhash._index(spark.createDataFrame([(v,) for v in signed], "fp bigint"), 4), 4)
+    pairs = met.select("a", "b", simhash._tally(F.col("a"), F.col("b")).alias("n")).collect()
+    with_base = {signed[r.a] if r.b == base else signed[r.b]: r.n for r in pairs if base in (r.a, r.b)}
+    assert with_base == {3: 3, 4: 4, 5: 5}, "two shared bytes never meet, three meet and are dropped by the tally"
+    assert len({(r.a, r.b) for r in pairs}) == len(pairs)
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, i) for i in range(101, 140)] + [(rng.randrange(200, 260), rng.randrange(200, 260)) for _ in range(40)] + [(5, 5)]
