@@ -1,4 +1,4 @@
-from strata.operators.asof import asof_left_join, asof_ordered
+from strata.operators.asof import asof_left_join, asof_ordered, dated_within, versions_begun_by
 from strata.operators.quality import (
     expect_all_or_drop,
     get_rules,
@@ -21,6 +21,7 @@ __all__ = [
     "asof_left_join",
     "asof_ordered",
     "current_versions",
+    "dated_within",
     "expect_all_or_drop",
     "get_rules",
     "latest_per_key",
@@ -33,4 +34,5 @@ __all__ = [
     "scd1",
     "scd2",
     "split_unsequenced",
+    "versions_begun_by",
 ]

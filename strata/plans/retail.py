@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 
 from strata.conf import PipelineConf
 from strata.functions import cast_columns, explode_items, flatten_struct, stamp, surrogate_key
+from strata.operators.asof import dated_within, versions_begun_by
 from strata.operators.quality import get_rules, rules_frame
-from strata.plans.facts import Dimension, MaintainedSummary, recompute_facts
+from strata.plans.facts import Dimension, MaintainedSummary, join_header, recompute_facts
+from strata.session import written
 from strata.sources import (
     Landing,
     SchemaStore,
@@ -230,22 +232,34 @@ class RetailStore:
         )
 
     def refresh_facts(self, name: str) -> None:
-        """Recompute the facts that refer to dimension members which changed since the last refresh.
+        """Recompute the facts dated in an interval whose valid version has changed since the last refresh.
 
-        While there are no facts there is nothing to do: :meth:`load_facts` uses the dimensions as they are.
+        Call it after :meth:`load_dimension`. While there are no facts there is nothing to do: :meth:`load_facts` uses the
+        dimensions as they are.
         """
-        key = DATASETS[name].key
-        holder = self.silver("sale_details" if name == "products" else "sales")
+        d, history = DATASETS[name], self.dimension(name)
 
         def handle(batch: DataFrame, n: int) -> None:
-            if not self.fact.has_rows():
+            if not (self.fact.has_rows() and history.has_rows()):
                 return
-            rows = holder.read().select("transaction_id", key)
-            changed = batch.select(F.col(key).try_cast(rows.schema[key].dataType).alias(key)).distinct()
-            self._recompute(rows.join(changed, key, "left_semi").select("transaction_id"), (name, n))
+            kind = history.table.schema()[d.key].dataType
+            events = _shape(d, batch).select(F.col(d.key).try_cast(kind).alias(d.key), "modified_date").distinct()
+            buckets = [r[0] for r in events.select(history.bucket()).distinct().collect()]
+            changed = written(versions_begun_by(history.read(buckets), events, [d.key], "modified_date"), "changed-versions")
+            self._recompute(dated_within(self._dated(d.key, changed), changed, [d.key], "transaction_date"), (name, n))
 
         run_available(self._stream(name), handle, self.conf.checkpoint(f"gold_refresh_{name}"))
 
+    def _dated(self, key: str, members: DataFrame) -> DataFrame:
+        """``transaction_id``, member key and ``transaction_date`` of the sales or lines that refer to one of the members."""
+        sales = self.silver("sales").read()
+        holder = sales if key in sales.columns else self.silver("sale_details").read()
+        wanted = members.select(F.col(key).try_cast(holder.schema[key].dataType).alias(key)).distinct()
+        rows = holder.join(wanted, key, "left_semi")
+        if holder is sales:
+            return rows.select("transaction_id", key, "transaction_date")
+        return join_header(rows.select("transaction_id", key), sales, ["transaction_id"], ["transaction_date"])
+
     def load_summary(self) -> None:
         """Name the summary in the catalog. Its rows follow the fact with every batch."""
         if self.kept_summary.table.schema() is not None:

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from strata.operators import asof_left_join, asof_ordered
+from strata.operators import asof_left_join, asof_ordered, dated_within, scd2, versions_begun_by
 
 DAY0 = dt.date(2020, 1, 1)
 
@@ -112,6 +112,25 @@ def test_ordered_pass_finds_the_valid_version(spark, seed, ranges):
     assert out.columns == ["i", "k", "d", "v"]
 
 
+@pytest.mark.parametrize("versions_per_key", [None, 2])
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_versions_begun_by_late_events_hold_all_facts_that_change(spark, seed, versions_per_key):
+    rng = random.Random(seed)
+    events = [(rng.choice([*"abc", None]), rng.choice([None, *range(30)]), i, rng.random() < 0.4) for i in range(40)]
+    log = spark.createDataFrame(events, "k string, t int, v int, late boolean")
+    facts = spark.createDataFrame([(i, rng.choice([*"abcd", None]), rng.choice([None, *range(-2, 33)])) for i in range(200)], "i int, k string, at int")
+    ordered = log.where("t IS NOT NULL")
+    history = scd2(ordered, ["k"], "t", ["v"])
+    begins = lambda h: {r.i: r.b for r in asof_left_join(facts, h, ["k"], "at", {"__START_AT": "b"}).collect()}
+    before, after = begins(scd2(ordered.where("NOT late"), ["k"], "t", ["v"])), begins(history)
+    late = log.where("late")
+    got = [r.i for r in dated_within(facts, versions_begun_by(history, late, ["k"], "t"), ["k"], "at", versions_per_key=versions_per_key).collect()]
+    moments = {(r.k, r.t) for r in late.collect()}
+    want = {i for i, k, _ in facts.collect() if after[i] is not None and (k, after[i]) in moments}
+    assert len(got) == len(set(got)) and set(got) == want
+    assert {i for i in after if before[i] != after[i]} <= want
+
+
 def test_ordered_pass_drops_versions_that_have_ended(spark):
     """A gap between versions, a NULL time, a NULL start, and a range that begins in the gap."""
     dim = spark.createDataFrame([("a", 10, 20, "1"), ("a", 30, None, "2"), ("a", None, None, "x"), ("b", 5, 6, "3")], "k string, __START_AT int, __END_AT int, v string")

@@ -104,9 +104,22 @@ def store(spark, tmp_path_factory):
         store.load_bronze(name)
         store.load_silver(name)
     store.load_sale_details()
+    recompute, store.refreshed = store._recompute, {}
+
+    def noted(transactions, batch):
+        ids = {r.transaction_id for r in transactions.select("transaction_id").collect()}
+        store.refreshed.setdefault(batch[0], set()).update(ids)
+        recompute(transactions, batch)
+
+    store._recompute = noted
     for name in ("customers", "location"):
         store.load_dimension(name)
         store.refresh_facts(name)
+    shop.csv("products/2.csv", [{"product_id": "p1", "label": "late", **dates("2024-02-10")}, {"product_id": "p1", "label": "later", **dates("2024-03-02")}])
+    store.load_bronze("products")
+    store.load_dimension("products")
+    store.refresh_facts("products")
+    store._recompute = recompute
     store.load_facts()
     store.load_summary()
     return store
@@ -160,6 +173,12 @@ def test_facts_follow_corrections_and_late_dimension_rows(store):
     assert rows(facts.where("dim_customer_key = '-1'"), "transaction_id") == [("t2",)]
 
 
+def test_only_facts_dated_in_a_changed_interval_are_recomputed(store):
+    """c1 has sales on 2024-02-01 (t1), 2024-03-02 (t3) and 2024-05-01 (t4); its late version ends on 2024-03-01. p1 has new
+    versions from 2024-02-10 on, which is after t1."""
+    assert store.refreshed == {"customers": {"t1"}, "location": {"t2"}, "products": {"t2", "t4"}}
+
+
 def test_incremental_fact_equals_fact_from_scratch(store):
     whole = sales_facts(store.silver("sale_details").read(), store.silver("sales").read(), store._dimensions())
     columns = [c for c in whole.columns if c != "gold_processed_ts"]

@@ -10,6 +10,7 @@ from strata.operators import (
     asof_left_join,
     asof_ordered,
     current_versions,
+    dated_within,
     expect_all_or_drop,
     get_rules,
     observe_rules,
@@ -20,6 +21,7 @@ from strata.operators import (
     rules_frame,
     scd1,
     scd2,
+    versions_begun_by,
 )
 from strata.plans import join_header, sales_facts, sales_summary
 from strata.session import scratch_path, written
@@ -32,6 +34,7 @@ from workload.roles import (
     LINE_KEYS,
     LINE_TIES,
     current_lines,
+    customer_changes,
     customer_history,
     dimensions,
     sale_headers,
@@ -324,6 +327,14 @@ def asof_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return asof_ordered(events, history, ["shop"], "ts", {"o_orderkey": "latest_order"}, ranges=ranges).select("event_id", "latest_order")
 
 
+def late_dimension_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines whose customer version is another one once the changes of the two highest priorities have come late."""
+    late = customer_changes(spark, sf_dir).where("priority IN ('1-URGENT', '2-HIGH')")
+    changed = versions_begun_by(customer_history(spark, sf_dir), late, ["customer_id"], "modified_date")
+    lines = dated_within(_owned_lines(spark, sf_dir), written(changed, "changed-versions"), {"o_custkey": "customer_id"}, "ship_date")
+    return lines.withColumn("ship_date", day("ship_date"))
+
+
 def _facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sales_facts(current_lines(spark, sf_dir), sale_headers(spark, sf_dir), dimensions(spark, sf_dir))
 
@@ -380,6 +391,7 @@ QUERIES = {
     "asof_join": asof_join,
     "asof_ordered": asof_in_order,
     "asof_hot_key": asof_hot_key,
+    "late_dimension_facts": late_dimension_facts,
     "fact_asof_join": fact_asof_join,
     "sales_summary": summary,
 }

@@ -185,6 +185,14 @@ ORACLES = {
         " coalesce(k, '-1') AS dim_customer_key, coalesce(priority, '-1') AS priority FROM x LEFT JOIN cust"
         " ON customer_id = o_custkey AND x.d >= cust.d AND x.d < coalesce(e, DATE '9999-12-31')"
     ),
+    "late_dimension_facts": (
+        f"WITH {_CUSTOMERS}, late AS (SELECT DISTINCT o_custkey AS c, CAST(o_orderdate AS DATE) AS day FROM orders"
+        " WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')),"
+        " x AS (SELECT *, CAST(l_shipdate AS DATE) AS ship FROM lineitem JOIN orders ON o_orderkey = l_orderkey)"
+        " SELECT l_orderkey AS transaction_id, l_linenumber, l_partkey, CAST(ship AS VARCHAR) AS ship_date, o_custkey FROM x"
+        " JOIN cust ON customer_id = o_custkey AND ship >= d AND ship < coalesce(e, DATE '9999-12-31')"
+        " SEMI JOIN late ON c = customer_id AND day = d"
+    ),
     "asof_hot_key": (
         "WITH v AS (SELECT o_orderdate AS d, max(o_orderkey) AS o_orderkey FROM orders GROUP BY 1)"
         " SELECT event_id, o_orderkey AS latest_order FROM events ASOF LEFT JOIN v ON ts >= d"
