@@ -26,13 +26,14 @@ def key_struct(keys: Sequence[str]) -> Column:
     return F.struct(*[F.col(k) for k in keys])
 
 
-def heavy_keys(df: DataFrame, keys: Sequence[str], at: str, rows_per_slice: int) -> DataFrame | None:
+def heavy_keys(df: DataFrame, keys: Sequence[str], at: str | None, rows_per_slice: int) -> DataFrame | None:
     """``__key, __n`` of the keys that hold more than ``rows_per_slice`` rows; None when there is no such key.
 
-    Reads only the key and time columns and counts before it shuffles. The result has fewer than
+    Reads only the key and time columns and counts before it shuffles. Rows without a time are not counted; without ``at``
+    all rows are. The result has fewer than
     ``rows / rows_per_slice`` rows.
     """
-    narrow = df.where(F.col(at).isNotNull()).select(key_struct(keys).alias(KEY))
+    narrow = (df.where(F.col(at).isNotNull()) if at else df).select(key_struct(keys).alias(KEY))
     heavy = written(narrow.groupBy(KEY).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > rows_per_slice), "heavy-keys")
     return None if heavy.isEmpty() else heavy
 

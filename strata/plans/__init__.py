@@ -5,7 +5,9 @@ from strata.plans.facts import (
     join_header,
     recompute_facts,
     sales_facts,
+    sales_facts_bucketed,
     sales_summary,
+    sales_summary_bucketed,
 )
 from strata.plans.retail import RULES, RetailStore
 
@@ -18,5 +20,7 @@ __all__ = [
     "join_header",
     "recompute_facts",
     "sales_facts",
+    "sales_facts_bucketed",
     "sales_summary",
+    "sales_summary_bucketed",
 ]

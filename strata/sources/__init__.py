@@ -1,3 +1,4 @@
+from strata.sources.bucketed import Bucketed, join_bucketed, open_bucketed, store_bucketed
 from strata.sources.landing import (
     Landing,
     bronze_frame,
@@ -18,6 +19,7 @@ from strata.sources.tables import (
 )
 
 __all__ = [
+    "Bucketed",
     "Landing",
     "SchemaStore",
     "bronze_frame",
@@ -25,12 +27,15 @@ __all__ = [
     "create_layers",
     "discover",
     "ingest",
+    "join_bucketed",
     "landing_stream",
     "materialize_view",
     "merge_schemas",
+    "open_bucketed",
     "preview",
     "read_files",
     "register_table",
     "replace_table",
+    "store_bucketed",
     "use_schema",
 ]

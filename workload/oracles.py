@@ -267,6 +267,8 @@ ORACLES = {
 ORACLES["asof_ordered"] = ORACLES["asof_join"]
 ORACLES["header_detail_stream"] = ORACLES["header_detail_join"].replace(", o_orderpriority AS payment_type", "")
 ORACLES["rule_metrics_observed"] = ORACLES["rule_metrics"]
+ORACLES["fact_bucketed"] = ORACLES["fact_asof_join"]
+ORACLES["summary_bucketed"] = ORACLES["sales_summary"]
 ORACLES["summary_incremental"] = ORACLES["sales_summary"]
 ORACLES["named_targets"] = (
     "WITH current AS (" + ORACLES["scd1_delete"] + "), history AS (" + ORACLES["incremental_scd2"] + ")"
