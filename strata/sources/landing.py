@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.sources.schemas import SchemaStore, merge_schemas
+from strata.sources.variants import column_types, field as document_field, stage_documents
 from strata.streaming.runs import run_available
 
 RESCUED, CORRUPT = "_rescued_data", "_corrupt_record"
@@ -50,6 +51,11 @@ class Landing:
     older than ``since`` are passed over. ``key=value`` folder names below ``path`` become columns. ``hints`` are columns
     that always exist, with the type they have whatever the files hold. ``max_age`` is how much older than the newest
     file a new one may be; by default there is no limit that a real file could reach.
+
+    With ``one_pass`` JSON files are read once instead of once for their schema and once for their rows: they are parsed
+    into VARIANT, stored as that, and the columns are taken from there. Files are UTF-8 then, reader ``options`` are refused,
+    objects that repeat a name are corrupt, text of numbers has no closing zeros, and whole numbers of more than 64 bits are
+    doubles unless ``hints`` say otherwise.
     """
 
     path: str
@@ -61,6 +67,11 @@ class Landing:
     options: Mapping[str, str] = field(default_factory=dict)
     hints: Mapping[str, str] = field(default_factory=dict)
     max_age: str = NO_AGE
+    one_pass: bool = False
+
+    def __post_init__(self):
+        if self.one_pass and (self.format != "json" or self.options):
+            raise ValueError("one pass is for JSON without reader options")
 
 
 def discover(spark: SparkSession, landing: Landing) -> DataFrame:
@@ -133,7 +144,7 @@ def read_files(
     Values that do not fit their column's remembered type are NULL in the column and kept in ``_rescued_data``.
     None when the files hold no row at all.
     """
-    read = _read_csv if landing.format == "csv" else _read_json
+    read = _read_csv if landing.format == "csv" else _read_documents if landing.one_pass else _read_json
     stored = store.load()
     found = read(spark, landing, paths, stored)
     if found is None:
@@ -159,6 +170,10 @@ def literal(path: str) -> str:
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
 
 
+def _column(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def _load(reader, paths: Sequence[str]) -> DataFrame:
     """Exactly these files. A file that is missing, or one that was not asked for, is an error."""
     plain = lambda p: re.sub(r"^([A-Za-z][A-Za-z0-9+.-]*:)/+", r"\1/", p)
@@ -252,6 +267,32 @@ def _read_json(
     return _with_lineage(raw), observed
 
 
+def _read_documents(
+    spark: SparkSession, landing: Landing, paths: Sequence[str], stored: T.StructType | None
+) -> tuple[DataFrame, T.StructType]:
+    """As :func:`_read_json`, from documents that were parsed once. Spellings of a name that differ in case are one column."""
+    reader = spark.read.format("text").option("wholetext", str(landing.multi_line).lower()).option("basePath", landing.path)
+    texts = _with_lineage(_load(reader, paths))
+    documents, found = stage_documents(texts, CORRUPT)
+    spelling = {n.lower(): n for n in [*(stored.names if stored else ()), *landing.hints]}
+    spellings: dict[str, list[str]] = {}
+    # Columns from folder names win over fields of the same name, as with other readers.
+    folders = [f for f in texts.schema.fields if f.name not in {"value", *LINEAGE.names}]
+    observed = T.StructType([T.StructField(spelling.setdefault(f.name.lower(), f.name), f.dataType) for f in folders])
+    taken = {f.name.lower() for f in folders}
+    for f in column_types(found, landing.infer_types).fields:
+        name = spelling.setdefault(f.name.lower(), f.name)
+        if name.lower() not in taken:
+            spellings.setdefault(name, []).append(f.name)
+            observed = merge_schemas(observed, T.StructType([T.StructField(name, f.dataType)]), widen=True)
+    merged = _hinted(merge_schemas(stored, observed), landing)
+    wanted, seen = {f.name: f.dataType for f in merged.fields}, {f.name: f.dataType for f in observed.fields}
+    read = {n: wanted[n] if _readable(wanted[n], seen[n]) else T.StringType() for n in spellings}
+    kept = [_column(f.name).alias(spelling[f.name.lower()]) for f in folders]
+    raw = documents.select(*kept, *[document_field(names, read[n]).alias(n) for n, names in spellings.items()], CORRUPT, *LINEAGE.names[1:])
+    return raw, observed
+
+
 def _inferred_json(spark: SparkSession, landing: Landing, paths: Sequence[str]) -> T.StructType:
     """Columns and types of the files. When it infers multi-line JSON, Spark expands names as patterns once more, so
     files with such names (few, as a rule) are handed to it as texts."""
@@ -284,7 +325,7 @@ def _typed(raw: DataFrame, schema: T.StructType, observed: T.StructType) -> Data
     seen = {f.name: f.dataType for f in observed.fields}
     values, lost = [], [F.col(CORRUPT)]
     for f in schema.fields:
-        column = F.col(f"`{f.name}`")
+        column = _column(f.name)
         if f.name not in have:
             values.append(F.lit(None).cast(f.dataType).alias(f.name))
         elif have[f.name] == f.dataType:
@@ -328,7 +369,7 @@ def _options(landing: Landing) -> dict[str, str]:
 
 
 def _with_lineage(df: DataFrame) -> DataFrame:
-    data = [F.col(f"`{c}`") for c in df.columns]
+    data = [_column(c) for c in df.columns]
     return df.select(
         *data,
         F.current_timestamp().alias("ingestion_ts"),

@@ -36,9 +36,9 @@ BATCHES = 3
 class Landed:
     """A landing folder in scratch space, with its bronze table."""
 
-    def __init__(self, spark: SparkSession, format: str, infer_types: bool = False):
+    def __init__(self, spark: SparkSession, format: str, infer_types: bool = False, one_pass: bool = False):
         self.spark, self.root = spark, scratch_path(spark, "landing")
-        self.landing = Landing(f"{self.root}/in", format, infer_types)
+        self.landing = Landing(f"{self.root}/in", format, infer_types, one_pass=one_pass)
         self.store = SchemaStore(spark, f"{self.root}/schema")
 
     def drop_csv(self, df: DataFrame, partitions: list[str] = []) -> None:
@@ -70,10 +70,18 @@ def _json_array(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def ingest_json_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    landed = Landed(spark, "json", infer_types=True)
+    return _sales_from_json(Landed(spark, "json", infer_types=True), sf_dir)
+
+
+def ingest_json_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, every file read once and kept as VARIANT."""
+    return _sales_from_json(Landed(spark, "json", infer_types=True, one_pass=True), sf_dir)
+
+
+def _sales_from_json(landed: Landed, sf_dir: str) -> DataFrame:
     item = lambda n, share: F.struct(F.lit(n).alias("line_item_id"), (F.col("o_totalprice") * share).alias("line_total"))
     landed.drop_json(
-        table(spark, sf_dir, "orders").select(
+        table(landed.spark, sf_dir, "orders").select(
             F.col("o_orderkey").alias("transaction_id"),
             F.struct(F.col("o_orderpriority").alias("priority"), F.col("o_orderstatus").alias("status")).alias("terms"),
             F.col("o_totalprice").alias("total_amount"),
@@ -386,6 +394,7 @@ def bronze_to_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "ingest_json_stream": ingest_json_stream,
+    "ingest_json_variant": ingest_json_variant,
     "ingest_csv_stream": ingest_csv_stream,
     "ingest_csv_typed": ingest_csv_typed,
     "partition_columns": partition_columns,

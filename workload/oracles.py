@@ -267,6 +267,7 @@ ORACLES = {
 ORACLES["asof_ordered"] = ORACLES["asof_join"]
 ORACLES["header_detail_stream"] = ORACLES["header_detail_join"].replace(", o_orderpriority AS payment_type", "")
 ORACLES["rule_metrics_observed"] = ORACLES["rule_metrics"]
+ORACLES["ingest_json_variant"] = ORACLES["ingest_json_stream"]
 ORACLES["fact_bucketed"] = ORACLES["fact_asof_join"]
 ORACLES["summary_bucketed"] = ORACLES["sales_summary"]
 ORACLES["summary_incremental"] = ORACLES["sales_summary"]
