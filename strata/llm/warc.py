@@ -23,6 +23,8 @@ from strata.llm.common import Store, arrow_map, stored
 
 MIN_BYTES = 1000
 LEVEL = 3
+# Bytes of one archive, and records that a reader hands on at a time.
+ARCHIVE_BYTES, BATCH_RECORDS = 1 << 30, 1024
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 FILES = "file string"
 HEADERS = (
@@ -126,6 +128,9 @@ def read_headers(spark: SparkSession, path: str, files: DataFrame) -> DataFrame:
     def number(value: str | None) -> int | None:
         return None if value is None else int(value)
 
+    def made(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema, strict=True)], schema=schema)
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for file in batch.column(0).to_pylist():
@@ -139,8 +144,11 @@ def read_headers(spark: SparkSession, path: str, files: DataFrame) -> DataFrame:
                         if hashlib.sha1(payload).hexdigest() != digest:
                             raise ValueError(f"{file}: the payload at {offset} is damaged")
                     rows.append((file, offset, length, h["warc-record-id"], h["warc-type"], h.get("warc-target-uri"), h["warc-date"], number(h.get("page-id")), digest, n_bytes, h.get("warc-refers-to"), number(h.get("refers-to-page-id"))))
+                    if len(rows) == BATCH_RECORDS:
+                        yield made(rows)
+                        rows = []
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema, strict=True)], schema=schema)
+                    yield made(rows)
 
     # An archive is read by a task of its own; the rows dealt out here are file names.
     dealt = files.select("file").repartitionByRange(max(1, files.count()), "file")
@@ -152,9 +160,9 @@ def resolve(headers: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
 
     Of records with equal payloads (digest and length) of at least ``min_bytes``, the response with the largest page id
     (NULL last, then by place) stays a response and all others refer to it. Smaller payloads stay responses. Revisits
-    that came in are joined to a response of their payload; one without any keeps the reference it had.
+    that came in are joined to a response of their payload; one without any keeps the reference it had. ``headers`` is read
+    twice, so it should be stored.
     """
-    headers = stored(headers, "headers")
     same = ["payload_digest", "payload_bytes"]
     # Reduced before the shuffle, and stored, so that the join below can be split where one payload has very many records.
     original = F.struct("page_id", "file", "offset", "record_id", "uri", "date")
@@ -172,8 +180,11 @@ def resolve(headers: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     )
 
 
-def write_deduplicated(resolved: DataFrame, source: str, path: str) -> DataFrame:
-    """The archives anew, with fresh headers; returns their names. Payloads are copied for responses only."""
+def write_deduplicated(resolved: DataFrame, source: str, path: str, archives: int = 0) -> DataFrame:
+    """The archives anew, with fresh headers; returns their names. Payloads are copied for responses only.
+
+    There are as many archives as Spark has shuffle partitions, or ``archives`` where that is more.
+    """
     old, store = Store(source), Store(path)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,18 +206,24 @@ def write_deduplicated(resolved: DataFrame, source: str, path: str) -> DataFrame
             yield pa.RecordBatch.from_arrays([pa.array([name])], ["file"])
 
     # In the order of the old archives, so that a task reads few of them and each from front to back.
-    placed = resolved.repartitionByRange(F.col("file"), F.col("offset")).sortWithinPartitions("file", "offset")
+    usual = int(resolved.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    place = [F.col("file"), F.col("offset")]
+    placed = resolved.repartitionByRange(archives, *place) if archives > usual else resolved.repartitionByRange(*place)
+    placed = placed.sortWithinPartitions("file", "offset")
     return stored(arrow_map(placed, write, FILES), "archives")
 
 
-def deduplicate(pages: DataFrame, path: str, date: str = "2000-01-01T00:00:00Z", min_bytes: int = MIN_BYTES) -> DataFrame:
+def deduplicate(
+    pages: DataFrame, path: str, date: str = "2000-01-01T00:00:00Z", min_bytes: int = MIN_BYTES, archive_bytes: int = ARCHIVE_BYTES
+) -> DataFrame:
     """``page_id, payload_bytes, payload_digest, record_type, refers_to``, read back from archives without repeats.
 
     ``pages`` has ``page_id, url, html``, one record each; repeated rows are records of their own. Archives as first
-    written are in ``path``/first, those without repeats in ``path``/unique. An empty table gives no archive and no row.
+    written are in ``path``/first, a file per input split, those without repeats in ``path``/unique, of about ``archive_bytes`` at most. An empty table gives no archive and no row.
     """
     spark = pages.sparkSession
     first, unique = f"{path}/first", f"{path}/unique"
-    headers = read_headers(spark, first, write_archives(pages, first, date))
-    files = write_deduplicated(resolve(headers, min_bytes), first, unique)
+    headers = stored(read_headers(spark, first, write_archives(pages, first, date)), "headers")
+    archives = -(-(headers.agg(F.sum("length")).first()[0] or 0) // archive_bytes)
+    files = write_deduplicated(resolve(headers, min_bytes), first, unique, archives)
     return read_headers(spark, unique, files).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

@@ -259,6 +259,23 @@ def test_components(spark):
     assert {r.node: r.root for r in got} == want and len(got) == len(want)
 
 
+def test_token_files_of_bounded_parts(spark, docs, monkeypatch):
+    """Many parts, and one id that holds most rows."""
+    monkeypatch.setattr(token_files, "BATCH_DOCS", 3)
+    same = spark.range(40).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "concat(id % 20, ' words of one id ', id) AS text")
+    table, path = docs.select("doc_id", "text").unionByName(same), scratch_path(spark, "files")
+    manifest = token_files.write_token_files(table, WORD, 2, path, part_bytes=100).collect()
+    usual = token_files.write_token_files(table, WORD, 2, scratch_path(spark, "files"))
+    assert len(manifest) > 8 > usual.count()
+    assert max(r.n_docs for r in manifest) < 40
+    library, want, at = Tokenizer.from_file(WORD), [], 0
+    for r in sorted(table.collect(), key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.text or "")):
+        ids = [*library.encode(r.text or "", add_special_tokens=False).ids, 2]
+        want.append((r.doc_id, at, len(ids), zlib.crc32(np.asarray(ids, "<u4"))))
+        at += len(ids)
+    assert as_rows(token_files.read_token_files(spark, path)) == sorted(want, key=repr)
+
+
 def pages(spark, htmls, first=1):
     rows = [(first + i, f"http://h.example/{i}", h) for i, h in enumerate(htmls)]
     return spark.createDataFrame(rows, "page_id bigint, url string, html string")
@@ -286,6 +303,16 @@ def test_revisits(spark):
     assert warc.deduplicate(table.limit(0), scratch_path(spark, "warc")).collect() == []
 
 
+def test_archives_of_bounded_size(spark, monkeypatch):
+    monkeypatch.setattr(warc, "BATCH_RECORDS", 2)
+    table, path = pages(spark, [str(i % 9) * 1500 for i in range(30)] + ["z" * 300_000]), scratch_path(spark, "warc")
+    table = table.withColumn("Page_Id_", F.lit(1)).withColumn("file", F.lit("x"))
+    usual, small = (warc.deduplicate(table, f"{path}/{n}", archive_bytes=n) for n in (1 << 30, 500))
+    assert as_rows(small) == as_rows(usual) and small.where("record_type = 'response'").count() == 10
+    # Each archive is read by a task of its own.
+    assert small.rdd.getNumPartitions() > 5 > usual.rdd.getNumPartitions()
+
+
 def test_incoming_revisits_are_joined_to_their_original(spark):
     def header(file, kind, digest, page, refers=None):
         return (file, 0, 10, f"<urn:{file}>", kind, None, "d", page, digest, 2000, refers, None)
