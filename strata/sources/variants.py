@@ -28,12 +28,15 @@ def stage_documents(texts: DataFrame, corrupt: str) -> tuple[DataFrame, T.Struct
     text = F.ltrim("value", F.lit(_BLANK))
     whole = F.array(F.try_parse_json(text))
     items = F.when(text.startswith("["), F.coalesce(F.from_json(text, "array<variant>"), whole)).otherwise(whole)
-    found = texts.where(text != "").select(*others, "value", F.explode(items).alias("item"))
+    parsed = texts.where(text != "").select(*others, "value", items.alias("items"))
+    # Only a text that could not be parsed goes on beside its items: each of them would get a copy of the whole text.
+    lost = F.when((F.size("items") == 1) & F.col("items")[0].isNull(), F.col("value"))
+    found = parsed.select(*others, lost.alias("lost"), "items").select(*others, "lost", F.explode("items").alias("item"))
     is_object = F.expr("try_variant_get(item, '$', 'struct<>')").isNotNull()
     rows = found.select(
         *others,
         F.when(is_object, F.col("item")).alias(DOCUMENT),
-        F.when(F.col("item").isNull(), F.col("value")).when(~is_object, F.to_json("item")).alias(corrupt),
+        F.when(F.col("item").isNull(), F.col("lost")).when(~is_object, F.to_json("item")).alias(corrupt),
     )
     seen, path = Observation("documents"), scratch_path(spark, "documents")
     rows.observe(seen, F.expr(f"schema_of_variant_agg({DOCUMENT})").alias("schema")).write.parquet(path)
