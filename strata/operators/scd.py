@@ -58,9 +58,23 @@ def scd1(
     tie_break: Sequence[str] | None = None,
     apply_as_deletes: str | Column | None = None,
     except_columns: Sequence[str] = (),
+    dealt_by: Sequence[str] | None = None,
+    rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
-    """One current row per key; a key whose last event is a delete is absent."""
-    latest = latest_per_key(changes, keys, sequence_by, tie_break)
+    """One current row per key; a key whose last event is a delete is absent.
+
+    With ``dealt_by``, some of the keys, rows are shuffled by these alone, and a join or grouping by them needs no other
+    shuffle. Where they have values with more than ``rows_per_slice`` rows, those rows go by all keys.
+    """
+    fold = lambda rows: latest_per_key(rows, keys, sequence_by, tie_break)
+    heavy = heavy_keys(changes, dealt_by, None, rows_per_slice) if dealt_by else None
+    if not dealt_by:
+        latest = fold(changes)
+    elif heavy is None:
+        latest = fold(changes.repartition(*dealt_by))
+    else:
+        usual = fold(other_rows(changes, heavy, dealt_by).repartition(*dealt_by))
+        latest = usual.unionByName(fold(rows_of(changes, heavy, dealt_by).drop(KEY)))
     return publish_scd1(latest, apply_as_deletes, except_columns)
 
 
@@ -132,7 +146,7 @@ def timeline(
     else:
         usual = _versions(other_rows(events, heavy, keys), keys, names, track_columns)
         slices = -(-heavy.agg(F.sum("__n")).first()[0] // rows_per_slice)
-        cut = _sliced_versions(rows_of(events, heavy, keys), slices, names, track_columns)
+        cut = _sliced_versions(rows_of(events, heavy, keys), slices, rows_per_slice, names, track_columns)
         versions = usual.unionByName(cut)
     return versions.select(*changes.columns, END_AT)
 
@@ -178,7 +192,7 @@ def _versions(
 
 
 def _sliced_versions(
-    events: DataFrame, slices: int, order: Sequence[str], track: Sequence[str] | None
+    events: DataFrame, slices: int, rows_per_slice: int, order: Sequence[str], track: Sequence[str] | None
 ) -> DataFrame:
     """:func:`_versions` of heavy keys, by range of (key, sequence) instead of key.
 
@@ -188,7 +202,7 @@ def _sliced_versions(
     """
     sequence = order[0]
     last = _last(events, [KEY, sequence], [F.col(c) for c in order])
-    rows = sliced = in_ranges(last, [KEY, sequence], slices)
+    rows = sliced = in_ranges(last, [KEY, sequence], slices, rows_per_slice)
     timeline = Window.partitionBy(KEY, SLICE).orderBy(sequence)
     between = Window.partitionBy(KEY).orderBy(SLICE)
 

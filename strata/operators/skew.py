@@ -38,9 +38,20 @@ def heavy_keys(df: DataFrame, keys: Sequence[str], at: str | None, rows_per_slic
     return None if heavy.isEmpty() else heavy
 
 
-def in_ranges(df: DataFrame, order: Sequence[str], ranges: int) -> DataFrame:
+def in_ranges(df: DataFrame, order: Sequence[str], ranges: int, rows_per_slice: int | None = None) -> DataFrame:
     """The rows, stored once, with the number of the range of ``order`` that they lie in: about equally many in each, rows
-    equal in ``order`` in the same."""
+    equal in ``order`` in the same.
+
+    A range takes a task, and the driver a sample of rows for each. Where no rows are equal in ``order``, give
+    ``rows_per_slice``: more ranges than a shuffle has tasks are then cut within these tasks.
+    """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if rows_per_slice and ranges > tasks:
+        # Counts the rows of a task in their order; numbers of later tasks are higher.
+        number = F.monotonically_increasing_id()
+        placed = df.repartitionByRange(tasks, *order).sortWithinPartitions(*order).withColumn(SLICE, number)
+        place = F.col(SLICE) % F.lit(1 << 33)
+        return written(placed.withColumn(SLICE, F.col(SLICE) - place % F.lit(rows_per_slice)), "ranges")
     dealt = df.repartitionByRange(max(1, ranges), *order).withColumn(SLICE, F.spark_partition_id())
     return written(dealt, "ranges")
 
