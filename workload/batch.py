@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,13 +26,14 @@ from strata.operators import (
 from strata.plans import join_header, sales_facts, sales_facts_bucketed, sales_summary, sales_summary_bucketed
 from strata.session import scratch_path, written
 from strata.conf import PipelineConf
-from strata.sources import Bucketed, create_layers, preview, register_table, replace_table, store_bucketed, use_schema
+from strata.sources import create_layers, preview, register_table, replace_table, use_schema
 from workload.roles import (
     EVENT_DELETE,
     EVENT_KEYS,
     EVENT_SEQUENCE,
     LINE_KEYS,
     LINE_TIES,
+    bucketed,
     current_lines,
     customer_changes,
     customer_history,
@@ -346,30 +345,28 @@ def comparable_facts(facts: DataFrame) -> DataFrame:
     return facts.drop("gold_processed_ts").withColumns({c: day(c) for c in dates})
 
 
-def _bucketed(df: DataFrame, name: str, keys: list[str]) -> Bucketed:
-    spark = df.sparkSession
-    spark.sql("CREATE SCHEMA IF NOT EXISTS strata_bucketed")
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return store_bucketed(df, f"strata_bucketed.{name}", scratch_path(spark, f"bucketed-{name}"), keys, buckets)
-
-
-def _facts_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The log of lines, the headers and the dimensions are stored in buckets first. Corrections are folded within buckets."""
-    lines = _bucketed(sale_lines(spark, sf_dir), "sale_lines", ["transaction_id"])
-    headers = _bucketed(sale_headers(spark, sf_dir), "sale_headers", ["transaction_id"])
-    members = [replace(d, history=_bucketed(d.history, f"dim_{i}", list(d.keys.values())).rows()) for i, d in enumerate(dimensions(spark, sf_dir))]
-    return sales_facts_bucketed(lines.per_key(lambda df: scd1(df, LINE_KEYS, "modified_date", LINE_TIES)), headers, members)
+def _facts_bucketed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, bool]:
+    """The log of lines, the headers and the dimensions are stored in buckets first. Corrections are folded within buckets.
+    With the facts: has no transaction too many rows for one task?"""
+    lines = bucketed(sale_lines(spark, sf_dir), "sale_lines", ["transaction_id"])
+    headers = bucketed(sale_headers(spark, sf_dir), "sale_headers", ["transaction_id"])
+    current = lines.per_key(lambda df: scd1(df, LINE_KEYS, "modified_date", LINE_TIES))
+    return sales_facts_bucketed(current, headers, dimensions(spark, sf_dir)), lines.heavy is None and headers.heavy is None
 
 
 def fact_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable_facts(_facts_bucketed(spark, sf_dir))
+    return comparable_facts(_facts_bucketed(spark, sf_dir)[0])
 
 
 def summary_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact itself in buckets of its transaction, summed within them."""
     exact = {c: F.col(c).cast("decimal(18,2)") for c in ("line_total", "quantity")}
-    facts = _bucketed(written(_facts_bucketed(spark, sf_dir).withColumns(exact), "facts"), "facts", ["transaction_id"])
-    return _comparable_sums(sales_summary_bucketed(facts))
+    facts, even = _facts_bucketed(spark, sf_dir)
+    facts = facts.withColumns(exact)
+    # Facts come dealt by transaction. Heavy transactions are counted where there may be some.
+    how = {"rows_per_key": None, "dealt": True} if even else {}
+    stored = bucketed(facts if even else written(facts, "facts"), "facts", ["transaction_id"], **how)
+    return _comparable_sums(sales_summary_bucketed(stored))
 
 
 def fact_asof_join(spark: SparkSession, sf_dir: str) -> DataFrame:
