@@ -9,6 +9,7 @@ from dataclasses import replace
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.functions import cast_columns
 from strata.operators import asof_left_join
@@ -253,13 +254,16 @@ SLICES = 5
 
 
 def _in_time_order(spark: SparkSession, df: DataFrame, at: str, borders: list[float]) -> DataFrame:
-    """The rows as a stream whose micro-batches follow each other in time."""
-    files, path = int(spark.conf.get("spark.sql.shuffle.partitions")), scratch_path(spark, "timed")
+    """The rows as a stream whose micro-batches follow each other in time. They are worked out once, whatever the number of
+    micro-batches, and stored by their place in it."""
+    files, path, places = int(spark.conf.get("spark.sql.shuffle.partitions")), scratch_path(spark, "timed"), scratch_path(spark, "places")
     place = F.lit(0)
     for border in borders:
         place = place + (F.unix_timestamp(at) > border).cast("int")
+    df.withColumn("__place", place).write.partitionBy("__place").option("compression", "zstd").parquet(places)
+    placed = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("__place", T.IntegerType())])).parquet(places)
     for number in range(len(borders) + 1):
-        df.where(place == number).repartition(files).write.mode("append").parquet(path)
+        placed.where(F.col("__place") == number).drop("__place").repartition(files).write.mode("append").parquet(path)
     return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
