@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,6 +33,19 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/strata/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
+    """Session settings for a while, as far as nobody has chosen others."""
+    ours = {k: v for k, v in values.items() if spark.conf.get(k, None) is None}
+    for k, v in ours.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k in ours:
+            spark.conf.unset(k)
+
+
 def written(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     """Store a frame in the shared folder, well compressed, and read it back.
 

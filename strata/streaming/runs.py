@@ -6,6 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
+from strata.session import settings
+
+# State grows with the rows that may still be joined, so it lies on the disks of executors and not in their heaps; a bounded
+# cache is all the memory it takes.
+STATE_ON_DISK = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+}
+
 
 def run_available(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str) -> None:
     """Hand all available input to ``handle`` in micro-batches and wait for the end."""
@@ -19,7 +28,10 @@ def run_available(stream: DataFrame, handle: Callable[[DataFrame, int], None], c
 
 
 def append_flow(stream: DataFrame, table: str, checkpoint: str, path: str | None = None) -> DataFrame:
-    """Append all available rows of a stream to a named Parquet table, each row once, and return the table."""
+    """Append all available rows of a stream to a named Parquet table, each row once, and return the table.
+
+    State is kept by :data:`STATE_ON_DISK`, unless the session or an older checkpoint says otherwise.
+    """
     writer = (
         stream.writeStream.format("parquet")
         .outputMode("append")
@@ -28,5 +40,7 @@ def append_flow(stream: DataFrame, table: str, checkpoint: str, path: str | None
     )
     if path:
         writer = writer.option("path", path)
-    writer.toTable(table).awaitTermination()
+    with settings(stream.sparkSession, STATE_ON_DISK):
+        query = writer.toTable(table)
+    query.awaitTermination()
     return stream.sparkSession.read.table(table)

@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from strata.operators import observe_rules, observed_metrics, rule_metrics
 from strata.plans import MaintainedSummary, sales_summary
-from strata.streaming import Bounds, given_up, join_header_stream, run_join
+from strata.session import settings
+from strata.streaming import Bounds, append_flow, given_up, join_header_stream, run_join
 
 BOUNDS = Bounds("at", "1 day", "2 days")
 LINES, HEADS = "t int, line int, at timestamp", "t int, name string, at timestamp"
@@ -48,6 +49,27 @@ def test_state_of_the_stream_join_stops_growing(spark, tmp_path):
     assert max(run.state_rows) <= 5 * 60 and run.state_rows[-1] <= run.state_rows[5]
 
 
+def test_state_of_an_append_flow_lies_on_disk_and_settings_stay(spark, tmp_path):
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    spark.sql("DROP TABLE IF EXISTS joined_on_disk")
+    feed = Feed(spark, tmp_path)
+    feed.add([(1, 1, day(0)), (2, 1, day(0))], [(2, "b", day(0))])
+    feed.add([(3, 1, day(0))], [(1, "a", day(9))])
+    joined = feed.stream("lines", LINES).select("t", "line").join(feed.stream("heads", HEADS).select("t", "name"), "t")
+    out = append_flow(joined, "joined_on_disk", f"{tmp_path}/checkpoint", f"{tmp_path}/joined")
+    assert sorted(map(tuple, out.collect())) == [(1, 1, "a"), (2, 1, "b")]
+    stored = [f.suffix for f in (tmp_path / "checkpoint" / "state").rglob("[0-9]*.*") if not f.name.startswith(".")]
+    assert ".zip" in stored and ".delta" not in stored
+    assert spark.conf.get(provider, None) is None
+    spark.conf.set(provider, "chosen")
+    try:
+        with settings(spark, {provider: "other"}):
+            assert spark.conf.get(provider) == "chosen"
+        assert spark.conf.get(provider) == "chosen"
+    finally:
+        spark.conf.unset(provider)
+
+
 def test_late_rows_and_rows_without_header_are_set_aside(spark, tmp_path):
     feed = Feed(spark, tmp_path)
     feed.add([(1, 1, day(0)), (2, 1, day(0))], [(1, "a", day(0))])
