@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from strata.functions import surrogate_key
 from strata.functions.keys import packed, unpacked
 from strata.operators import scd2
 from strata.operators.skew import SLICE, in_ranges
@@ -48,6 +49,29 @@ def test_repeated_headers_times_and_missing_versions(spark, sale):
     assert sorted(map(tuple, out.collect()), key=repr) == sorted(want, key=repr)
 
 
+def test_made_keys_take_part_in_no_shuffle_and_are_the_same(spark, sale, rows):
+    kinds = {"customer_id": "INT", "product_id": "BIGINT"}  # the first is of another type than the fact's, so it travels
+
+    def dims(how):
+        for key, name, start, value, unknown in (("customer_id", "c", "2024-02-01", 1, "-1"), ("product_id", "p", "2024-01-06", 7, None)):
+            versions = spark.sql(f"SELECT CAST({value} AS {kinds[key]}) AS id, DATE'{start}' AS __START_AT, CAST(NULL AS DATE) AS __END_AT")
+            versions = versions.withColumn(name, surrogate_key("id", "__START_AT"))
+            yield Dimension(versions, {key: "id"}, {name: f"dim_{name}"}, unknown, **how(name))
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plain = sales_facts(*sale, [*dims(lambda _: {})]).drop("gold_processed_ts")
+        made = sales_facts(*sale, [*dims(lambda name: {"made": {name: ("id", "__START_AT")}})]).drop("gold_processed_ts")
+        assert made.schema == plain.schema and rows(made) == rows(plain)
+        assert {r.dim_p is None for r in made.collect()} == {True, False} and {r.dim_c == "-1" for r in made.collect()} == {True, False}
+        below = lambda df: df._jdf.queryExecution().executedPlan().toString().split("Exchange hashpartitioning", 1)[1]
+        for name in ("__out_dim_c", "__out_dim_p"):
+            assert name in below(plain) and name not in below(made)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_summary_of_facts_needs_no_shuffle_and_lines_carry_no_texts(spark, sale):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
