@@ -1,10 +1,13 @@
+import os
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from strata.operators import scd1
 from strata.plans import sales_summary, sales_summary_bucketed
+from strata.session import written
 from strata.sources import join_bucketed, open_bucketed, store_bucketed
 
 
@@ -40,6 +43,31 @@ def test_join_and_fold_need_no_shuffle(spark, store, rows):
     assert out.columns == ["t", "line", "amount", "name"]
 
 
+def test_shuffle_files_go_when_a_frame_is_stored(spark, store):
+    def files():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {n for n in found.mkString("\n").split() if "/shuffle_" in n}
+
+    def left(before, seconds=20):
+        until = time.time() + seconds
+        while files() - before and time.time() < until:
+            time.sleep(0.1)
+        return files() - before
+
+    before = files()
+    kept = lines(spark).repartition(3, "line")
+    kept.collect()
+    assert files() - before  # those of other jobs stay for the garbage collector
+    before = files()
+    store(lines(spark), "lines_alone", ["t"])
+    assert written(lines(spark).repartition(3, "line"), "alone").count() == 40
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(10000)
+    stored = {n for n in left(before) if n.endswith(".data")}
+    # Only the counts that look for heavy keys and the count above are left.
+    assert sum(os.path.getsize(n) for n in stored if os.path.exists(n)) < 400
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
 def test_heavy_and_null_keys_are_kept_apart_and_nothing_is_lost(spark, store, rows):
     log = lines(spark).unionByName(spark.range(30).selectExpr("7 AS t", "CAST(id + 100 AS INT) AS line", "id AS amount"))
     log = log.unionByName(spark.range(25).selectExpr("CAST(NULL AS BIGINT) AS t", "CAST(id AS INT) AS line", "id AS amount"))
