@@ -133,3 +133,21 @@ def test_rules_are_counted_while_rows_are_written(spark, tmp_path):
     kept, seen = observe_rules(rows, rules)
     kept.where("quantity = 1").write.parquet(f"{tmp_path}/kept")
     assert as_rows(observed_metrics(spark, seen, rules)) == as_rows(rule_metrics(rows, rules)) == [("large", 1, 2), ("some", 2, 1)]
+
+
+def test_summary_in_rounds_and_one_shuffle_for_its_buckets(spark, tmp_path, rows, monkeypatch):
+    facts = spark.sql("SELECT id % 40 AS t, sha2(CAST(id % 40 AS STRING), 256) AS k, IF(id % 3 = 0, NULL, 'x') AS p, CAST(id AS DOUBLE) AS line_total, 1 AS quantity FROM range(120)")
+    monkeypatch.setattr("strata.plans.facts.GROUPS_AT_ONCE", 1)
+    summary = MaintainedSummary(spark, str(tmp_path / "s"), ["t", "k", "p"], buckets=3)
+    written = []
+    replace = summary.table.replace
+    monkeypatch.setattr(summary.table, "replace", lambda df: (written.append(df), replace(df)))
+    summary.update(facts.limit(0), facts.where("t < 30"), ("f", 0))
+    for _ in range(2):
+        summary.update(facts.where("t < 10"), facts.where("t >= 30"), ("f", 1))
+    want = sales_summary(facts.where("t >= 10"), ["t", "k", "p"])
+    assert rows(summary.read()) == rows(want)
+    assert len(written) == 6  # three buckets twice, and none when the batch came again
+    for df in written:
+        whole = df._jdf.queryExecution().optimizedPlan().toString()
+        assert whole.count("RepartitionByExpression") == 1 and "RebalancePartitions" not in whole
