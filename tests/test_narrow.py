@@ -5,8 +5,9 @@ from strata.functions import surrogate_key
 from strata.functions.keys import packed, unpacked
 from strata.operators import scd2
 from strata.operators.skew import SLICE, in_ranges
-from strata.plans import Dimension, sales_facts, sales_summary
+from strata.plans import Dimension, recompute_facts, sales_facts, sales_summary
 from strata.streaming import ChangeSpec, KeyedTarget
+from strata.streaming.buckets import rounds
 
 
 def exchanges(df):
@@ -72,6 +73,30 @@ def test_made_keys_take_part_in_no_shuffle_and_are_the_same(spark, sale, rows):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_facts_are_worked_out_in_rounds_of_buckets(spark, sale, rows, tmp_path, monkeypatch):
+    monkeypatch.setattr("strata.plans.facts.TRANSACTIONS_AT_ONCE", 1)
+    monkeypatch.setattr("strata.streaming.target.ROWS_AT_ONCE", 1)
+    assert rounds({3: 2, 1: 5, 2: 1, 0: 2}, 4) == [[0], [1], [2, 3]] and rounds({}, 4) == []
+    lines, heads = sale
+    more = heads.where("transaction_id = 2").selectExpr("transaction_id + 1 AS transaction_id", "* EXCEPT (transaction_id)")
+    heads = heads.where("transaction_id = 1 AND transaction_date < DATE'2024-02-01'").dropDuplicates().unionByName(more)
+    lines = lines.withColumn("modified_date", F.lit("2024-01-05").cast("date"))
+    lines = lines.unionByName(lines.where("transaction_id = 2").withColumn("transaction_id", F.lit(3).cast("bigint")))
+    heads = heads.withColumn("modified_date", F.lit("2024-01-05").cast("date"))
+    spec = ChangeSpec(("transaction_id", "line_item_id"), "modified_date", tie_break=(), bucket_keys=("transaction_id",), buckets=4)
+    stored, facts = KeyedTarget(spark, str(tmp_path / "lines"), spec), KeyedTarget(spark, str(tmp_path / "facts"), spec)
+    stored.upsert(lines)
+    dims = [Dimension(history(spark, 7, "2024-01-01", "ab"), {"product_id": "id"}, {"name": "k"}, None)]
+    replaced, replace = [], facts.table.replace
+    monkeypatch.setattr(facts.table, "replace", lambda df: (replaced.append(df), replace(df)))
+    buckets = lines.select(stored.bucket()).distinct().count()
+    for _ in range(2):
+        recompute_facts(lines, stored, heads, dims, facts)
+        assert rows(facts.read().drop("gold_processed_ts")) == rows(sales_facts(lines, heads, dims).drop("gold_processed_ts"))
+    assert buckets > 1 and len(replaced) == 2 * lines.join(heads, "transaction_id").select(stored.bucket()).distinct().count()
+    recompute_facts(lines.limit(0), stored, heads, dims, facts)
+
+
 def test_summary_of_facts_needs_no_shuffle_and_lines_carry_no_texts(spark, sale):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
